@@ -31,6 +31,10 @@ def query_terms(query: str) -> list[str]:
     return list(dict.fromkeys(w for w in re.split(r"[\W_]+", query.lower()) if w))
 
 
+def _occurrences(words: str, term: str) -> Column:
+    return F.size(F.filter(words, lambda w: w == term))
+
+
 def keyword_search(df: DataFrame, key: str, text: str, query: str, limit: int | None = PAGE, digits: int = 6) -> DataFrame:
     """(key, score) of texts that hold every query term, best first.
 
@@ -43,7 +47,7 @@ def keyword_search(df: DataFrame, key: str, text: str, query: str, limit: int |
     counted = words.select(
         key,
         F.size("__words").alias("__len"),
-        *[F.size(F.filter("__words", lambda w, t=t: w == t)).alias(f"__tf{i}") for i, t in enumerate(terms)],
+        *[_occurrences("__words", t).alias(f"__tf{i}") for i, t in enumerate(terms)],
     )
     stats = counted.agg(
         F.count(F.lit(1)).alias("n"), F.avg("__len").alias("avg_len"),
