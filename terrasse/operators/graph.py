@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrasse.settings import durable
+from terrasse.settings import durable, durable_counted
 
 
 def pair_key(a: str, b: str):
@@ -84,8 +84,8 @@ def closure(edges: DataFrame, parent: str = "ancestor_id", child: str = "descend
         step = step.groupBy(parent, child).agg(F.min("__extra").alias("__extra")) if extra else step.distinct()
         known = reduce(DataFrame.unionByName, [lv.select(parent, child) for lv in levels])
         fresh = step.join(known, [parent, child], "left_anti").withColumn("generation_depth", F.lit(depth))
-        frontier = durable(fresh, f"level-{depth}")
-        if frontier.isEmpty():
+        frontier, found = durable_counted(fresh, f"level-{depth}")
+        if not found:
             break
         levels.append(frontier)
     pairs = reduce(DataFrame.unionByName, levels)
@@ -141,14 +141,14 @@ def resolve_hierarchy(
             F.array_append("__seen", F.col("__at")).alias("__seen"),
             F.col("__parent").alias("__at"),
         )
-        step = durable(step, "walk")
         ended = (
             F.col("__chapter").isNotNull()
             | F.col("__at").isNull()
             | F.coalesce(F.array_contains("__seen", F.col("__at")), F.lit(False))
         )
-        finished.append(step.filter(ended))
-        walk = step.filter(~ended)
+        step = durable(step.withColumn("__ended", ended), "walk")
+        finished.append(step.filter("__ended"))
+        walk = step.filter("NOT __ended").drop("__ended")
         if walk.isEmpty():
             break
     found = reduce(DataFrame.unionByName, finished).select(

@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrasse.operators.ordered import over_order, same_key
+from terrasse.operators.ordered import over_order
+from terrasse.settings import durable
 
 # Fixed value: number of equal-width bins.
 BINS = 30
@@ -155,30 +156,73 @@ def density_2d(df: DataFrame, x: str, y: str, bins: int = BINS) -> DataFrame:
     )
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """(column, p, value) with linear interpolation.
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int = 10_000) -> DataFrame:
+    """(column, p, value), exact, with linear interpolation.
 
-    Equal values are counted together first; a running total over the distinct values, split
-    into runs when there are many, locates the two rows around each quantile.
+    Approximate quantiles first bracket every wanted one; then only the rows inside a bracket
+    are grouped by value, the rest is just counted per gap.  Should a quantile fall outside its
+    bracket, all values are grouped.
     """
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns
-    ])).alias("e")).select("e.*").filter(F.col("v").isNotNull())
-    per_value = long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
-    running = over_order(per_value, ["column"], ["v"], total={"upto": "n"})
-    totals = per_value.groupBy("column").agg(F.sum("n").alias("total"))
-    targets = totals.select(
-        "column", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("p"), "total"
+    brackets = _brackets(df, columns, probabilities, accuracy)
+    found = durable(_quantiles_between(df, brackets, probabilities), "quantiles")
+    if found.filter(F.col("value").isNull()).isEmpty():
+        return found
+    return _quantiles_between(df, {c: [(None, None)] for c in brackets}, probabilities)
+
+
+def _brackets(df, columns, probabilities, accuracy):
+    margin = 4 / accuracy
+    around = [min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)]
+    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), around, accuracy).alias(f"q{i}") for i, c in enumerate(columns)]).first()
+    out = {}
+    for i, c in enumerate(columns):
+        if row[i] is None:
+            continue  # no value at all
+        merged: list[list[float]] = []
+        for low, high in sorted(zip(row[i][::2], row[i][1::2], strict=True)):
+            if merged and low <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], high)
+            else:
+                merged.append([low, high])
+        out[c] = [tuple(b) for b in merged]
+    return out
+
+
+def _quantiles_between(df, brackets, probabilities):
+    if not brackets:
+        return df.sparkSession.createDataFrame([], "column string, p double, value double")
+
+    def located(c: str, spans) -> Column:
+        # Slot 2i lies below bracket i, slot 2i + 1 inside it.
+        v = F.col(c).cast("double")
+        if spans == [(None, None)]:
+            slot, inside = F.lit(1), F.lit(True)
+        else:
+            slot = F.lit(2 * len(spans))
+            for i, (low, high) in reversed(list(enumerate(spans))):
+                slot = F.when(v < low, 2 * i).when(v <= high, 2 * i + 1).otherwise(slot)
+            inside = slot % 2 == 1
+        return F.struct(
+            F.lit(c).alias("column"), slot.alias("slot"), F.when(inside, v).alias("v"), v.isNotNull().alias("known")
+        )
+
+    rows = df.select(F.explode(F.array(*[located(c, s) for c, s in brackets.items()])).alias("e")).select("e.*").filter("known")
+    per_value = durable(rows.groupBy("column", "slot", "v").agg(F.count(F.lit(1)).alias("n")), "value-counts")
+    running = over_order(per_value, ["column"], ["slot", "v"], total={"upto": "n"})
+    targets = per_value.groupBy("column").agg(F.sum("n").alias("total")).select(
+        "column", "total", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("p")
     ).withColumn("pos", F.col("p") * (F.col("total") - 1))
-    # Few rows: one per column and probability.
-    hit = running.join(F.broadcast(targets), "column").filter(
-        ((F.col("upto") - F.col("n") <= F.floor("pos")) & (F.floor("pos") < F.col("upto")))
-        | ((F.col("upto") - F.col("n") <= F.ceil("pos")) & (F.ceil("pos") < F.col("upto")))
-    )
-    edges = hit.groupBy("column", "p", "pos").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    return edges.select(
-        "column", "p", (F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("pos") - F.floor("pos"))).alias("value")
+
+    def covers(position: Column) -> Column:
+        return (F.col("upto") - F.col("n") <= position) & (position < F.col("upto"))
+
+    # Few target rows: one per column and probability.
+    hit = running.join(F.broadcast(targets), "column").filter(covers(F.floor("pos")) | covers(F.ceil("pos")))
+    edges = hit.groupBy("column", "p", "pos").agg(
+        F.min("v").alias("lo"), F.max("v").alias("hi"), F.bool_or(F.col("v").isNull()).alias("outside")
     )
+    value = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("pos") - F.floor("pos"))
+    return edges.select("column", "p", F.when(~F.col("outside"), value).alias("value"))
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str], digits: int = 6, approximate: bool = False) -> DataFrame:

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrasse.settings import BROADCAST_ROWS, RUN_ROWS, durable, limit_of
+from terrasse.settings import BROADCAST_ROWS, RUN_ROWS, durable, durable_counted, limit_of
 
 RUN = "__run"
 _ROWS = "__rows"
@@ -122,7 +122,7 @@ def _across_runs(df, keys, order, last, lead, lag, total):
     )
     along = Window.partitionBy(*keys).orderBy(RUN)
     before = along.rowsBetween(Window.unboundedPreceding, -1)
-    carry = durable(
+    carry, borders = durable_counted(
         summary.select(
             *group,
             F.lead("__head").over(along).alias("__after"),
@@ -132,7 +132,7 @@ def _across_runs(df, keys, order, last, lead, lag, total):
         ),
         "run-borders",
     )
-    if carry.count() <= limit_of(df.sparkSession, BROADCAST_ROWS):
+    if borders <= limit_of(df.sparkSession, BROADCAST_ROWS):
         carry = F.broadcast(carry)
 
     w = Window.partitionBy(*group).orderBy(*order)

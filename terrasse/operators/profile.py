@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from terrasse.functions.scalars import pii_hint, shorten
 from terrasse.operators.keys import top_n_per_key
 from terrasse.operators.measures import BINS, density_2d, hash_sample, histogram, top_k
+from terrasse.settings import durable
 
 # Sizes of previews and samples, and limits of the chart rules.
 PREVIEW_ROWS, SAMPLE_ROWS, SAMPLE_VALUES = 100, 20, 4
@@ -62,24 +63,26 @@ def payload_profile(df: DataFrame, column: str, digits: int = 3) -> DataFrame:
     The type is the most general one seen: string over double over long over boolean; objects
     and arrays count as string.
     """
-    doc = F.col(column)
-    objects = df.select(doc.alias("doc"), F.json_object_keys(doc).alias("keys")).filter(F.col("keys").isNotNull())
-    total = objects.agg(F.count(F.lit(1))).scalar()
-    raw = F.from_json("doc", "map<string,string>")
-    entries = objects.select(F.explode(raw).alias("name", "text"), "doc")
-    # quoted text and numbers look alike once unpacked, so ask the document for the kind
-    kind = F.schema_of_variant(F.try_variant_get(F.parse_json("doc"), F.concat(F.lit("$['"), "name", F.lit("']")), "variant"))
+    objects = df.select(F.from_json(column, "map<string,variant>").alias("m"))
+    nothing = F.lit(None).cast("struct<key:string,value:variant>")
+    # One entry without a name per parsed document counts the documents in the same pass.
+    listed = F.concat(F.map_entries("m"), F.array(nothing))
+    entries = objects.select(F.explode(listed).alias("e")).select(F.col("e.key").alias("name"), F.schema_of_variant("e.value").alias("kind"))
     level = (
-        F.when(F.col("text").isNull(), None)
-        .when(kind == "BOOLEAN", 0).when(kind == "BIGINT", 1)
-        .when(kind.startswith("DECIMAL") | (kind == "DOUBLE"), 2).otherwise(3)
+        F.when(F.col("kind") == "VOID", None)
+        .when(F.col("kind") == "BOOLEAN", 0).when(F.col("kind") == "BIGINT", 1)
+        .when(F.col("kind").startswith("DECIMAL") | (F.col("kind") == "DOUBLE"), 2)
+        .when(F.col("kind").isNotNull(), 3)
     )
     names = F.array(*[F.lit(t) for t in ("boolean", "long", "double", "string")])
-    per_key = entries.groupBy("name").agg(F.max(level).alias("__level"), F.count("text").alias("__n"))
-    return per_key.select(
+    per_key = durable(
+        entries.groupBy("name").agg(F.max(level).alias("level"), F.count(level).alias("filled"), F.count(F.lit(1)).alias("n")), "keys"
+    )
+    total = per_key.filter(F.col("name").isNull()).select(F.max("n")).scalar()
+    return per_key.filter(F.col("name").isNotNull()).select(
         "name", F.concat(F.lit("$."), "name").alias("json_path"),
-        F.coalesce(F.get(names, F.col("__level")), F.lit("string")).alias("inferred_type"),
-        F.round(F.lit(1.0) - F.try_divide(F.col("__n"), total), digits).alias("null_rate"),
+        F.coalesce(F.get(names, F.col("level")), F.lit("string")).alias("inferred_type"),
+        F.round(F.lit(1.0) - F.try_divide(F.col("filled"), total), digits).alias("null_rate"),
         pii_hint(F.col("name")).alias("pii_hint"),
     )
 

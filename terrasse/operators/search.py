@@ -1,7 +1,7 @@
 """Ranked keyword search over a text column.
 
-Only the query terms are counted in each text, so no token leaves its row: one pass measures
-corpus statistics, one pass scores.
+Only the query terms are counted in each text, so no token leaves its row.  The counts are
+written once and give both the corpus statistics and the scores.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrasse.operators.measures import top_k
+from terrasse.settings import durable
 
 # BM25 parameters and the size of a result page.
 K1, B = 1.2, 0.75
@@ -22,7 +23,7 @@ PAGE = 20
 def tokens(text: str | Column) -> Column:
     """Lower-case runs of letters and digits."""
     t = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(F.lower(t), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(t), r"[^\p{L}\p{N}]+"), "")
 
 
 def query_terms(query: str) -> list[str]:
@@ -32,7 +33,7 @@ def query_terms(query: str) -> list[str]:
 
 
 def _occurrences(words: str, term: str) -> Column:
-    return F.size(F.filter(words, lambda w: w == term))
+    return F.size(words) - F.size(F.array_remove(words, term))
 
 
 def keyword_search(df: DataFrame, key: str, text: str, query: str, limit: int | None = PAGE, digits: int = 6) -> DataFrame:
@@ -44,10 +45,14 @@ def keyword_search(df: DataFrame, key: str, text: str, query: str, limit: int |
     if not terms:
         return substring_search(df, key, text, query, limit)
     words = df.select(key, tokens(text).alias("__words"))
-    counted = words.select(
-        key,
-        F.size("__words").alias("__len"),
-        *[_occurrences("__words", t).alias(f"__tf{i}") for i, t in enumerate(terms)],
+    # A few numbers per text are kept, so the texts are read and cut once for both passes.
+    counted = durable(
+        words.select(
+            key,
+            F.size("__words").alias("__len"),
+            *[_occurrences("__words", t).alias(f"__tf{i}") for i, t in enumerate(terms)],
+        ),
+        "term-counts",
     )
     stats = counted.agg(
         F.count(F.lit(1)).alias("n"), F.avg("__len").alias("avg_len"),

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # One ordered run is sorted inside one task, so it must stay small enough to sort with a
 # modest spill.  Keys with more rows than this are split (see operators.ordered).
@@ -64,12 +65,25 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/terrasse/{label}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in its own file system."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()).exists(target)
+
+
 def durable(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the plan, fixes values that a second evaluation could change, and survives the loss
     of any executor.
     """
+    return durable_counted(df, label)[0]
+
+
+def durable_counted(df: DataFrame, label: str = "stage") -> tuple[DataFrame, int]:
+    """Like ``durable``, with the number of rows, counted while writing."""
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    seen = Observation(label)
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]

@@ -9,24 +9,30 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from terrasse.settings import path_exists
+
 HISTORY = "version bigint, ts timestamp, operation string, rows bigint"
 
 
 def history(spark: SparkSession, table: str) -> DataFrame:
     """Versions, newest first; an unknown table has none."""
-    try:
-        rows = spark.read.schema(HISTORY).parquet(f"{table}/_history")
-    except AnalysisException:
-        rows = spark.createDataFrame([], HISTORY)
-    return rows.orderBy(F.col("version").desc())
+    return _versions(spark, table).orderBy(F.col("version").desc())
+
+
+def _versions(spark: SparkSession, table: str) -> DataFrame:
+    path = f"{table}/_history"
+    if path_exists(spark, path):
+        return spark.read.schema(HISTORY).parquet(path)
+    return spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in (c.split() for c in HISTORY.split(", "))])
 
 
 def current_version(spark: SparkSession, table: str) -> int | None:
-    return history(spark, table).agg(F.max("version")).first()[0]
+    if not path_exists(spark, f"{table}/_history"):
+        return None
+    return _versions(spark, table).agg(F.max("version")).first()[0]
 
 
 def commit(df: DataFrame, table: str, operation: str, partition_by: tuple[str, ...] = (), ts: datetime | None = None) -> int:
@@ -34,21 +40,20 @@ def commit(df: DataFrame, table: str, operation: str, partition_by: tuple[str, .
     spark = df.sparkSession
     last = current_version(spark, table)
     version = 0 if last is None else last + 1
-    target = f"{table}/snapshot={version}"
-    writer = df.write.mode("overwrite")  # replaces what a failed attempt left behind
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target)
-    rows = spark.read.parquet(target).count()  # footers only
+    seen = Observation("written")
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")  # replaces what a failed attempt left
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{table}/snapshot={version}")
     stamp = F.current_timestamp() if ts is None else F.lit(ts)
-    spark.range(1).select(
+    spark.range(0, 1, 1, 1).select(
         F.lit(version).cast("bigint").alias("version"), stamp.cast("timestamp").alias("ts"),
-        F.lit(operation).alias("operation"), F.lit(rows).cast("bigint").alias("rows"),
+        F.lit(operation).alias("operation"), F.lit(seen.get["rows"]).cast("bigint").alias("rows"),
     ).write.mode("append").parquet(f"{table}/_history")
     return version
 
 
 def read_version(spark: SparkSession, table: str, version: int | None = None, as_of: datetime | None = None) -> DataFrame:
     """The table now, at a version, or at a time."""
-    versions = history(spark, table)
+    versions = _versions(spark, table)
     if version is not None:
         versions = versions.filter(F.col("version") == version)
     elif as_of is not None:
