@@ -1,4 +1,8 @@
-"""Code-list enrichment, role-playing lookups, JSON-array bridges, fact and dimension joins."""
+"""Code-list enrichment, role-playing lookups, JSON-array bridges, fact and dimension joins.
+
+No join here is forced to broadcast.  Spark broadcasts a code list whose size, measured from its
+files or at run time, is below its threshold, and joins by sorting, with skewed keys split, above.
+"""
 
 from __future__ import annotations
 
@@ -7,14 +11,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrasse.settings import BROADCAST_ROWS, limit_of
-
-
-def small(df: DataFrame) -> DataFrame:
-    """Ask for a broadcast when a count shows the side is small; else leave the choice to Spark."""
-    limit = limit_of(df.sparkSession, BROADCAST_ROWS)
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
 
 def padded_code(code: str | Column, width: int = 4) -> Column:
     """Left-pad with zeros; a longer code is kept whole."""
@@ -35,7 +31,7 @@ def prefer_reference(
         .agg(F.min(F.struct(*[F.col(r).alias(own) for own, r in columns.items()])).alias("__ref"))
     )
     joined = df.withColumn("__own_code", padded_code(code, width)).join(
-        small(ref), F.col("__own_code") == F.col("__code"), "left"
+        ref, F.col("__own_code") == F.col("__code"), "left"
     )
     return joined.select(
         *[
@@ -47,7 +43,7 @@ def prefer_reference(
 
 def role_lookups(df: DataFrame, codes: DataFrame, code: str, attributes: Sequence[str], roles: Mapping[str, str]) -> DataFrame:
     """Look the same code list up once per role column (``{column: prefix}``)."""
-    listed = small(codes.select(code, *attributes))
+    listed = codes.select(code, *attributes)
     for column, prefix in roles.items():
         renamed = listed.select(
             F.col(code).alias(column), *[F.col(a).alias(f"{prefix}_{a}") for a in attributes]
@@ -65,11 +61,11 @@ def json_array_rows(df: DataFrame, keep: Sequence[str], column: str, element_sch
 def bridge(rows: DataFrame, codes: DataFrame, code: str, attributes: Mapping[str, str], list_code: str) -> DataFrame:
     """Add code-list attributes (``{output: list column}``) to exploded rows."""
     listed = codes.select(F.col(list_code).alias(code), *[F.col(src).alias(dst) for dst, src in attributes.items()])
-    return rows.join(small(listed), code, "left")
+    return rows.join(listed, code, "left")
 
 
 def join_dimension(fact: DataFrame, dimension: DataFrame, on: Sequence[str] | Column, how: str = "inner") -> DataFrame:
-    return fact.join(small(dimension), on, how)
+    return fact.join(dimension, on, how)
 
 
 def growth_first_last(

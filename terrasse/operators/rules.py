@@ -40,24 +40,37 @@ def add_updated_at(df: DataFrame, name: str = SILVER_TIMESTAMP) -> DataFrame:
     return df.withColumn(name, F.current_timestamp())
 
 
-def safe_cast(column: str, target: str) -> Column:
-    """Cast that gives NULL for a value it cannot read."""
-    return F.col(column).try_cast(target)
+INTEGRAL = ("tinyint", "smallint", "int", "integer", "bigint", "long")
+_WHOLE = r"^\s*([+-]?\d+)(\.\d*)?\s*$"
+
+
+def safe_cast(column: str, target: str, source: str | None = None) -> Column:
+    """Cast that gives NULL for a value it cannot read.
+
+    Text that is cast to a whole number is tested by pattern first: decimals are cut off, and
+    text that is no number costs no exception per row.
+    """
+    c = F.col(column)
+    if source == "string" and target.lower() in INTEGRAL:
+        return F.when(c.rlike(_WHOLE), F.regexp_extract(c, _WHOLE, 1).try_cast(target))
+    return c.try_cast(target)
 
 
 def apply_casts(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:
     """Cast the columns that exist; rules for missing columns are skipped."""
-    return df.withColumns({c: safe_cast(c, t) for c, t in casts.items() if c in df.columns})
+    types = dict(df.dtypes)
+    return df.withColumns({c: safe_cast(c, t, types[c]) for c, t in casts.items() if c in types})
 
 
 def cast_report(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:
     """NULLs each cast would introduce, all rules in one pass: (column, target, introduced)."""
-    rules = [(c, t) for c, t in casts.items() if c in df.columns]
+    types = dict(df.dtypes)
+    rules = [(c, t) for c, t in casts.items() if c in types]
     if not rules:
         return df.sparkSession.createDataFrame([], "column string, target string, introduced long")
     counts = df.agg(
         *[
-            F.count_if(F.col(c).isNotNull() & safe_cast(c, t).isNull()).alias(f"n{i}")
+            F.count_if(F.col(c).isNotNull() & safe_cast(c, t, types[c]).isNull()).alias(f"n{i}")
             for i, (c, t) in enumerate(rules)
         ]
     )

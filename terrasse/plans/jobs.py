@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrasse.plans import curate, health, persons
-from terrasse.settings import build_session
+from terrasse.settings import build_session, drop_stages
 from terrasse.sinks.writers import overwrite_table
 from terrasse.sources.readers import read_config, read_table
 from terrasse.streaming import events as streaming
@@ -54,6 +54,7 @@ def run(spark: SparkSession, name: str, inputs: dict[str, str], output: str, **a
     frames = {i: read_table(spark, inputs[i]) for i in (*job.inputs, *job.optional) if i in inputs}
     df = job.build(**frames, **{a: arguments[a] for a in job.arguments})
     overwrite_table(df.withColumn("_updated_at", F.current_timestamp()), output, job.partition_by)
+    drop_stages(spark)
 
 
 def main(argv: list[str] | None = None) -> None:

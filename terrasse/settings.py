@@ -61,8 +61,19 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def _stage_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/terrasse/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/terrasse/{label}-{uuid.uuid4().hex}"
+    return f"{_stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete the stage tables this application wrote; frames that still read them become invalid."""
+    context = spark.sparkContext
+    root = context._jvm.org.apache.hadoop.fs.Path(_stage_root(spark))
+    root.getFileSystem(context._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
