@@ -254,7 +254,7 @@ def household_structure(spark, sf):
     urgent = orders.filter(F.col("o_orderpriority") == "1-URGENT")
     children = measures.counts_by(orders.filter(F.col("o_orderstatus") == "P"), ["c_custkey"], "child_count")
     people = keys.with_existence_flag(table(spark, sf, "customer"), urgent, ["c_custkey"], "has_partner")
-    return persons.classify_households(people.join(children, "c_custkey", "left"))
+    return persons.classify_households(people.join(children, "c_custkey", "left"), "c_custkey")
 
 
 # Pairs (user, k): opened by signup, closed by error; odd events name the sides the other way round.

@@ -238,16 +238,21 @@ def household_structure(registry: DataFrame, relations: DataFrame, symmetric: bo
     return classify_households(with_existence_flag(persons, partners, ["person_id"], "has_partner").join(children, "person_id", "left"))
 
 
-def classify_households(persons: DataFrame, child_count: str = "child_count", has_partner: str = "has_partner") -> DataFrame:
+def classify_households(
+    persons: DataFrame, key: str = "person_id", child_count: str = "child_count", has_partner: str = "has_partner"
+) -> DataFrame:
+    """Counts of known persons per type and size; the share is taken of all rows, known or not."""
     n = F.coalesce(F.col(child_count), F.lit(0))
     size = 1 + F.col(has_partner).cast("int") + n
     labelled = persons.select(
         household_type(F.col(has_partner), n > 0).alias("household_type"),
-        rules.band(size, rules.SIZE_BANDS, rules.SIZE_TOP).alias("size_category"),
+        rules.band(size, rules.SIZE_BANDS, rules.SIZE_TOP).alias("size_category"), key,
     )
-    return measures.share_of_total(
-        measures.counts_by(labelled, ["household_type", "size_category"], "count"), "count", "pct_of_total"
+    counted = labelled.groupBy("household_type", "size_category").agg(
+        F.count(key).alias("count"), F.count(F.lit(1)).alias("__rows")
     )
+    total = counted.agg(F.sum("__rows")).scalar()
+    return counted.withColumn("pct_of_total", F.round(F.col("count") / total * 100, 2)).drop("__rows")
 
 
 def required_columns(table: str) -> Sequence[str]:
