@@ -188,7 +188,7 @@ def year_end_snapshot(spark, sf):
     FROM p LEFT JOIN b USING (code, reference_year) LEFT JOIN d USING (code, reference_year)""")
 def population_stats(spark, sf):
     people = _history(spark, sf)
-    snap = history.year_end_snapshot(people, "person_id", 2002, tie_breakers=["o_orderkey"])
+    snap = history.year_end_snapshot(people, "person_id", 2002, disjoint=True)
     return history.population_by_year(
         snap, people, ["code"], "code", "person_id", F.col("is_alive"),
         {"population_male": F.col("gender") == "M", "population_female": F.col("gender") == "F"},

@@ -171,10 +171,13 @@ def year_end_snapshot(
     valid_to: str = "valid_to",
     tie_breakers: Sequence[str] = (),
     year: str = "reference_year",
+    disjoint: bool = False,
 ) -> DataFrame:
     """The row of each key that holds at 31 December, for every year it holds.
 
-    Each row lists its own years, so no row meets a year it does not cover.
+    Each row lists its own years, so no row meets a year it does not cover.  Where rows of a key
+    overlap, the current and then the latest one is kept; ``disjoint=True`` states that they never
+    do, which saves the shuffle.
     """
     first = F.year(valid_from)
     final = F.least(
@@ -182,6 +185,8 @@ def year_end_snapshot(
         F.lit(as_of_year) if isinstance(as_of_year, int) else as_of_year,
     )
     yearly = history.filter(final >= first).withColumn(year, F.explode(F.sequence(first, final)))
+    if disjoint:
+        return yearly
     order = [F.col("is_current").desc(), F.col(valid_from).desc(), *[F.col(c).desc() for c in tie_breakers]]
     return first_per_key(yearly, [key, year], order)
 

@@ -107,20 +107,28 @@ def column_roles(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     others = [f.name for f in df.schema.fields if f.name not in {*numeric, *dates, *texts} and not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
     countable = [*texts, *others]
-
-    roles = {c: F.lit("numeric") for c in numeric} | {c: F.lit("date") for c in dates}
+    # The sketch only rules out columns far above the limit; the rest has few values, which are
+    # counted exactly and combine well before their shuffle.
+    few_values: list[str] = []
     if countable:
-        measured = df.agg(*[F.count_distinct(c).alias(f"d{i}") for i, c in enumerate(countable)])
-        for i, c in enumerate(texts):
-            head = df.filter(F.col(c).isNotNull())
-            head = (head.orderBy(*order_by) if order_by else head).limit(DATE_ROWS)
-            share = head.agg(F.avg(F.try_to_timestamp(c).isNotNull().cast("double"))).scalar()
-            measured = measured.withColumn(f"p{i}", F.coalesce(share, F.lit(0.0)))
-        for i, c in enumerate(countable):
-            few = F.when(F.col(f"d{i}") <= CATEGORICAL_MAX, "categorical").otherwise("other")
-            roles[c] = F.when(F.col(f"p{i}") >= DATE_SHARE, "date").otherwise(few) if c in texts else few
+        rough = df.agg(*[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(countable)]).first()
+        few_values = [c for i, c in enumerate(countable) if rough[i] <= 2 * CATEGORICAL_MAX]
+    if few_values:
+        measured = df.agg(*[F.count_distinct(c).alias(f"d{i}") for i, c in enumerate(few_values)])
     else:
         measured = df.sparkSession.range(1)
+
+    roles = {c: F.lit("numeric") for c in numeric} | {c: F.lit("date") for c in dates}
+    for c in countable:
+        role = F.lit("other")
+        if c in few_values:
+            role = F.when(F.col(f"d{few_values.index(c)}") <= CATEGORICAL_MAX, "categorical").otherwise("other")
+        if c in texts:
+            head = df.select(c, *order_by).filter(F.col(c).isNotNull())
+            head = (head.orderBy(*order_by) if order_by else head).limit(DATE_ROWS)
+            share = F.coalesce(head.agg(F.avg(F.try_to_timestamp(c).isNotNull().cast("double"))).scalar(), F.lit(0.0))
+            role = F.when(share >= DATE_SHARE, "date").otherwise(role)
+        roles[c] = role
     rows = [F.struct(F.lit(c).alias("name"), roles.get(c, F.lit("other")).alias("role")) for c in df.columns]
     return measured.select(F.inline(F.array(*rows)))
 

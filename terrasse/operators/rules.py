@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -99,17 +100,43 @@ def path(column: str, *paths: str) -> Column:
     return found[0] if len(found) == 1 else F.coalesce(*found)
 
 
+_FLAT_PATH = re.compile(r"^\$\.([A-Za-z_][A-Za-z0-9_]*)$")
+_DOCUMENT = "__document"
+
+
+def parsed_fields(
+    df: DataFrame, column: str, fields: Mapping[str, str | Sequence[str]]
+) -> tuple[DataFrame, dict[str, Column]]:
+    """The frame with its JSON text parsed once, and a column for each field.
+
+    A field may list alternative paths; the first non-NULL one counts.  Top-level keys share one
+    parse of the document, deeper paths are looked up in the text.
+    """
+    paths = {name: [p] if isinstance(p, str) else list(p) for name, p in fields.items()}
+    flat = {p: m.group(1) for ps in paths.values() for p in ps if (m := _FLAT_PATH.match(p))}
+    if flat:
+        schema = ", ".join(f"`{k}` string" for k in dict.fromkeys(flat.values()))
+        df = df.withColumn(_DOCUMENT, F.from_json(column, schema))
+
+    def one(p: str) -> Column:
+        return F.col(_DOCUMENT).getField(flat[p]) if p in flat else F.get_json_object(F.col(column), p)
+
+    def first(ps: list[str]) -> Column:
+        return one(ps[0]) if len(ps) == 1 else F.coalesce(*[one(p) for p in ps])
+
+    return df, {name: first(ps) for name, ps in paths.items()}
+
+
 def extract_payload(df: DataFrame, fields: Mapping[str, str | Sequence[str]], from_column: str = "payload_json") -> DataFrame:
     """Replace the row with the extracted fields and the pass-through columns.
 
-    A field may list alternative paths.  A frame without the payload column is returned as is.
+    A frame without the payload column is returned as is.
     """
     if from_column not in df.columns:
         return df
-    picked = [
-        path(from_column, *([p] if isinstance(p, str) else p)).alias(name) for name, p in fields.items()
-    ]
-    return df.select(*picked, *[c for c in PAYLOAD_PASSTHROUGH if c in df.columns])
+    kept = [c for c in PAYLOAD_PASSTHROUGH if c in df.columns]
+    parsed, found = parsed_fields(df, from_column, fields)
+    return parsed.select(*[c.alias(name) for name, c in found.items()], *kept)
 
 
 def path_for_type(column: str, json_path: str, type_column: str, only_for: str) -> Column:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from terrasse.operators import graph, history, measures, rules
 from terrasse.operators.keys import with_existence_flag
 from terrasse.operators.lookup import prefer_reference
-from terrasse.operators.rules import path
 
 # Event types, statuses, relation types and household labels.
 CREATED, BIRTH, MOVE, DEATH = "citizen.created", "event.birth", "event.relocation", "citizen.died"
@@ -60,15 +59,15 @@ def _event_columns() -> dict[str, Column]:
 
 
 def person_fields(events: DataFrame, death_path: str = DEATH_DATE_PATH) -> DataFrame:
-    picked = {n: path("payload_json", *p) for n, p in PERSON_PATHS.items()}
-    picked["fnr_hash"] = rules.pseudonym(picked.pop("ssn"))
-    picked["death_date"] = rules.path_for_type("payload_json", death_path, "event_type", DEATH)
-    return events.select(*[c.alias(n) for n, c in {**_event_columns(), **picked}.items()])
+    parsed, found = rules.parsed_fields(events, "payload_json", {**PERSON_PATHS, "death_date": death_path})
+    found["fnr_hash"] = rules.pseudonym(found.pop("ssn"))
+    found["death_date"] = F.when(F.col("event_type") == DEATH, found["death_date"])
+    return parsed.select(*[c.alias(n) for n, c in {**_event_columns(), **found}.items()])
 
 
 def family_fields(events: DataFrame) -> DataFrame:
-    picked = {n: path("payload_json", *p) for n, p in FAMILY_PATHS.items()}
-    return events.select(*[c.alias(n) for n, c in {**_event_columns(), **picked}.items()])
+    parsed, found = rules.parsed_fields(events, "payload_json", FAMILY_PATHS)
+    return parsed.select(*[c.alias(n) for n, c in {**_event_columns(), **found}.items()])
 
 
 def _status_events(family: DataFrame) -> DataFrame:
@@ -163,8 +162,15 @@ def municipality_migration(residence: DataFrame) -> DataFrame:
     return history.in_out_net(residence, PLACE, names=("innflyttinger", "utflyttinger", "netto"))
 
 
-def population_stats(registry: DataFrame, as_of_year: int, count_deaths: str = "rows") -> DataFrame:
-    snapshot = history.year_end_snapshot(registry, "person_id", as_of_year, tie_breakers=["change_event_type"])
+def population_stats(registry: DataFrame, as_of_year: int, count_deaths: str = "rows", disjoint: bool = True) -> DataFrame:
+    """Residents, births and deaths per municipality and year.
+
+    A registry built by ``person_registry`` holds one row per person at any time, so its yearly
+    rows need no choice between candidates; pass ``disjoint=False`` for other histories.
+    """
+    snapshot = history.year_end_snapshot(
+        registry, "person_id", as_of_year, tie_breakers=["change_event_type"], disjoint=disjoint
+    )
     return history.population_by_year(
         snapshot, registry, PLACE, "municipality_code", "person_id", F.col("is_alive"),
         {"population_male": F.col("gender") == "M", "population_female": F.col("gender") == "F"},

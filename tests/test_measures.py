@@ -48,6 +48,12 @@ def test_quantiles_are_exact(spark, accuracy, small_runs):
         assert got["b", p] == 100 * p
 
 
+def test_quantiles_from_a_sample_stay_exact(spark, monkeypatch):
+    monkeypatch.setattr(measures, "BRACKET_ROWS", 200)
+    df = spark.range(5001).select((F.col("id") * 7919 % 5001).cast("double").alias("v"))
+    assert {r.p: r.value for r in measures.exact_quantiles(df, ["v"], [0.25, 0.5]).collect()} == {0.25: 1250.0, 0.5: 2500.0}
+
+
 def test_describe(spark):
     df = spark.createDataFrame([(1,), (2,), (3,), (None,)], "v int")
     r = measures.describe_numeric(df, ["v"]).first()

@@ -170,6 +170,10 @@ def test_snapshot_equals_cross_join_form(registry, spark):
     assert rows(snap, "person_id", "reference_year") == rows(pairs)
 
 
+def test_disjoint_histories_need_no_choice(registry):
+    assert rows(P.population_stats(registry, 2011, disjoint=True)) == rows(P.population_stats(registry, 2011, disjoint=False))
+
+
 def test_deaths_count_rows_or_persons(registry, spark):
     doubled = registry.unionByName(registry.filter("death_date IS NOT NULL"))
     alive = doubled.withColumn("is_alive", F.lit(True))
