@@ -53,13 +53,10 @@ def pivot_share(spark, sf):
                  round(sum(l_quantity) / nullif(sum(CASE WHEN l_quantity < 0 THEN 1.0 ELSE 0.0 END), 0), 6) AS no_base,
                  round(avg(l_discount), 6) AS mean_discount FROM lineitem GROUP BY 1, 2""")
 def ratio_of_sums(spark, sf):
-    lines, keys = table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"]
-    ratios = measures.ratio_of_sums(lines, keys, {
+    return measures.ratio_of_sums(table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"], {
         "discount_share": (F.col("l_extendedprice") * F.col("l_discount"), "l_extendedprice"),
         "no_base": ("l_quantity", F.when(F.col("l_quantity") < 0, 1.0).otherwise(0.0)),
-    }, 6)
-    means = lines.groupBy(*keys).agg(F.round(F.avg("l_discount"), 6).alias("mean_discount"))
-    return ratios.join(means, keys)
+    }, 6, {"mean_discount": "l_discount"})
 
 
 @query("""SELECT o_custkey, n, total, round(total / sum(total) OVER () * 100, 6) AS pct_of_total, total / n AS mean,

@@ -13,6 +13,7 @@ from terrasse.functions.versions import resolve_version
 from terrasse.operators.keys import first_per_key
 from terrasse.operators.measures import top_k
 from terrasse.operators.ordered import over_order
+from terrasse.settings import durable
 
 # Score weights of related products and limits of the row guard.
 DOMAIN_POINTS, COLUMN_POINTS, COLUMN_CAP, LINEAGE_POINTS, OWNER_POINTS = 3, 2, 6, 2, 1
@@ -237,18 +238,23 @@ def related_products(products: DataFrame, anchor_id: object, k: int = 4, product
 
     The anchor is one row; every other product is scored against it in one pass.
     """
-    me = products.filter(F.col(product) == anchor_id)
-    def mine(c):
-        return me.select(F.first(c)).scalar()
-    overlap = F.size(F.array_intersect(F.col(columns), mine(columns)))
-    linked = F.array_contains(F.coalesce(mine(sources), F.array().cast(products.schema[sources].dataType)), F.col(product)) | F.coalesce(
+    wanted = dict(domain=domain, owner=owner, columns=columns, sources=sources)
+    anchor = products.filter(F.col(product) == anchor_id).agg(
+        F.first(F.struct(*[F.col(c).alias(n) for n, c in wanted.items()]))
+    ).scalar()
+
+    def mine(name):
+        return anchor.getField(name)
+
+    overlap = F.size(F.array_intersect(F.col(columns), mine("columns")))
+    linked = F.coalesce(F.array_contains(mine("sources"), F.col(product)), F.lit(False)) | F.coalesce(
         F.array_contains(F.col(sources), F.lit(anchor_id)), F.lit(False)
     )
     score = (
-        F.when(F.col(domain).eqNullSafe(mine(domain)), DOMAIN_POINTS).otherwise(0)
+        F.when(F.col(domain).eqNullSafe(mine("domain")), DOMAIN_POINTS).otherwise(0)
         + F.least(overlap * COLUMN_POINTS, F.lit(COLUMN_CAP))
         + F.when(linked, LINEAGE_POINTS).otherwise(0)
-        + F.when(F.col(owner).eqNullSafe(mine(owner)), OWNER_POINTS).otherwise(0)
+        + F.when(F.col(owner).eqNullSafe(mine("owner")), OWNER_POINTS).otherwise(0)
     )
     scored = products.filter(F.col(product) != anchor_id).select(product, score.alias("score")).filter("score > 0")
     return top_k(scored, [F.col("score").desc(), F.col(product).asc()], k)
@@ -280,6 +286,6 @@ def split_access(products: DataFrame, grants: DataFrame, product: str = "product
 
 def products_per_group(products: DataFrame, group: str, name: str) -> DataFrame:
     """(group, name, n_products): the products of each group as rows, so a large group stays spread out."""
-    pairs = products.filter(F.col(group).isNotNull()).select(group, name).distinct()
+    pairs = durable(products.filter(F.col(group).isNotNull()).select(group, name).distinct(), "pairs")
     sizes = pairs.groupBy(group).agg(F.count(F.lit(1)).alias("n_products"))
     return pairs.join(sizes, group)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from terrasse.operators.keys import first_per_key
 from terrasse.operators.ordered import over_order
+from terrasse.settings import durable
 
 
 def fan_out(df: DataFrame, roles: Sequence[Mapping[str, Column]]) -> DataFrame:
@@ -220,17 +221,19 @@ def population_by_year(
             F.round(F.avg(F.col(year) - birth_year), digits).alias("avg_age"),
         )
     )
-    births = history.filter(birth_events).groupBy(code, F.year("valid_from").alias(year)).agg(F.count(key).alias("births"))
-    deaths = (
-        history.filter(F.col(death_date).isNotNull())
-        .groupBy(code, F.year(death_date).alias(year))
-        .agg((F.count(key) if count_deaths == "rows" else F.count_distinct(key)).alias("deaths"))
-    )
-    return (
-        residents.join(births, [code, year], "left")
-        .join(deaths, [code, year], "left")
-        .fillna(0, subset=["births", "deaths"])
+    # Births and deaths of a history row come from one scan.
+    changes = fan_out(
+        history,
+        [
+            {code: F.col(code), year: F.year("valid_from"), "birth": F.when(birth_events, F.col(key)), "death": F.lit(None).cast(history.schema[key].dataType)},
+            {code: F.col(code), year: F.year(death_date), "birth": F.lit(None).cast(history.schema[key].dataType), "death": F.col(key)},
+        ],
+    ).filter(F.col(code).isNotNull() & F.col(year).isNotNull() & (F.col("birth").isNotNull() | F.col("death").isNotNull()))
+    counted = changes.groupBy(code, year).agg(
+        F.count("birth").alias("births"),
+        (F.count("death") if count_deaths == "rows" else F.count_distinct("death")).alias("deaths"),
     )
+    return residents.join(counted, [code, year], "left").fillna(0, subset=["births", "deaths"])
 
 
 def flow_matrix(
@@ -259,6 +262,8 @@ def flow_matrix(
         .groupBy(*[f"from_{p}" for p in parts], *[F.col(p).alias(f"to_{p}") for p in parts], year)
         .agg(F.count(F.lit(1)).alias("flow_count"))
     )
+    # The flows are far fewer than the moves and are needed in both directions.
+    forward = durable(forward, "flows")
     back = forward.groupBy(
         F.col(f"to_{code}").alias(f"from_{code}"), F.col(f"from_{code}").alias(f"to_{code}"), F.col(year)
     ).agg(F.sum("flow_count").alias("return_flow_count"))

@@ -61,13 +61,21 @@ def fill_months(monthly: DataFrame, name: str = "n", period: str = "period") ->
 
 
 def share_of_total(df: DataFrame, value: str, name: str, digits: int = 2, factor: int = 100) -> DataFrame:
-    """Share of the grand total, which is read as a scalar subquery."""
+    """Share of the grand total.
+
+    ``df`` is an aggregate: it is written once, so that the total does not compute it again.
+    """
+    df = durable(df, "shares")
     total = df.agg(F.sum(value)).scalar()
     return df.withColumn(name, F.round(F.try_divide(F.col(value), total) * factor, digits))
 
 
 def share_in_group(df: DataFrame, groups: Sequence[str], value: str, name: str, digits: int = 1, factor: int = 100) -> DataFrame:
-    """Share inside a group, from group totals that are combined before their shuffle."""
+    """Share inside a group, from group totals that are combined before their shuffle.
+
+    ``df`` is an aggregate and is written once.
+    """
+    df = durable(df, "shares")
     totals = df.groupBy(*groups).agg(F.sum(value).alias("__total"))
     joined = df.join(totals.select(*[F.col(g).alias(f"__g_{g}") for g in groups], "__total"),
                      reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"__g_{g}")) for g in groups]), "left")
@@ -86,10 +94,14 @@ def row_shares(wide: DataFrame, columns: Sequence[str], digits: int = 1, suffix:
     return wide.withColumns({f"{c}{suffix}": F.round(F.try_divide(F.col(c), total) * 100, digits) for c in columns})
 
 
-def ratio_of_sums(df: DataFrame, keys: Sequence[str], ratios: Mapping[str, tuple[str | Column, str | Column]], digits: int = 4) -> DataFrame:
-    """Ratios of group sums, not means of ratios; a zero denominator gives NULL."""
+def ratio_of_sums(
+    df: DataFrame, keys: Sequence[str], ratios: Mapping[str, tuple[str | Column, str | Column]], digits: int = 4,
+    means: Mapping[str, str | Column] | None = None,
+) -> DataFrame:
+    """Ratios of group sums, where a zero denominator gives NULL, and plain means beside them."""
     return df.groupBy(*keys).agg(
-        *[F.round(F.try_divide(F.sum(a), F.sum(b)), digits).alias(n) for n, (a, b) in ratios.items()]
+        *[F.round(F.try_divide(F.sum(a), F.sum(b)), digits).alias(n) for n, (a, b) in ratios.items()],
+        *[F.round(F.avg(c), digits).alias(n) for n, c in (means or {}).items()],
     )
 
 
@@ -97,9 +109,10 @@ def global_rank(df: DataFrame, value: str, name: str, descending: bool = True) -
     """``rank()`` over the whole table without sorting it in one task.
 
     Rows per value are counted first; a running total over the distinct values, split into
-    runs when there are many, gives every value its rank.
+    runs when there are many, gives every value its rank.  ``df`` is written once, so that both
+    uses see the same values.
     """
-    sign = -F.col(value) if descending else F.col(value)
+    df = durable(df, "ranked")
     per_value = df.groupBy(F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
     # Running through descending order, NULLs come last.
     per_value = per_value.withColumn("__by", -F.col("__v") if descending else F.col("__v"))
@@ -115,14 +128,16 @@ def top_k(df: DataFrame, by: Sequence[Column], k: int) -> DataFrame:
 
 
 def both_tails(df: DataFrame, value: str, ties: Sequence[str], k: int) -> DataFrame:
-    """The k smallest and the k largest rows, without duplicates."""
+    """The k smallest and the k largest rows, without duplicates; ``df`` is an aggregate and is written once."""
+    df = durable(df, "tails")
     low = top_k(df, [F.col(value).asc(), *[F.col(t).asc() for t in ties]], k)
     high = top_k(df, [F.col(value).desc(), *[F.col(t).asc() for t in ties]], k)
     return low.union(high).distinct()
 
 
 def top_group_series(df: DataFrame, group: str, value: str, k: int) -> DataFrame:
-    """All rows of the k groups with the largest mean."""
+    """All rows of the k groups with the largest mean; ``df`` is an aggregate and is written once."""
+    df = durable(df, "series")
     means = df.groupBy(group).agg(F.avg(value).alias("__mean"))
     best = top_k(means, [F.col("__mean").desc(), F.col(group).asc()], k).select(group)
     return df.join(F.broadcast(best), group, "left_semi")  # k rows
@@ -135,25 +150,29 @@ def equal_width_bin(value: str | Column, low: Column, high: Column, bins: int =
     return F.when(high == low, F.lit(1)).otherwise(F.least(raw, F.lit(bins))).cast("int")
 
 
+def edges_of(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Smallest and largest value of each column, as one struct read once per query."""
+    parts = [f(c).alias(f"{name}_{c}") for c in columns for name, f in (("lo", F.min), ("hi", F.max))]
+    return df.agg(F.struct(*parts)).scalar()
+
+
 def histogram(df: DataFrame, column: str, bins: int = BINS) -> DataFrame:
     """(bin, n) over equal-width bins; NULLs are left out."""
     values = df.select(column).filter(F.col(column).isNotNull())
-    low, high = values.agg(F.min(column)).scalar(), values.agg(F.max(column)).scalar()
-    return counts_by(values.select(equal_width_bin(column, low, high, bins).alias("bin")), ["bin"])
+    edge = edges_of(values, [column])
+    bounds = [edge.getField(f"{side}_{column}") for side in ("lo", "hi")]
+    return counts_by(values.select(equal_width_bin(column, *bounds, bins).alias("bin")), ["bin"])
 
 
 def density_2d(df: DataFrame, x: str, y: str, bins: int = BINS) -> DataFrame:
     """(x_bin, y_bin, n) on a square grid; rows with a NULL coordinate are left out."""
     points = df.select(x, y).dropna()
-    def edge(f, c):
-        return points.agg(f(c)).scalar()
-    return counts_by(
-        points.select(
-            equal_width_bin(x, edge(F.min, x), edge(F.max, x), bins).alias("x_bin"),
-            equal_width_bin(y, edge(F.min, y), edge(F.max, y), bins).alias("y_bin"),
-        ),
-        ["x_bin", "y_bin"],
-    )
+    edge = edges_of(points, [x, y])
+
+    def position(c: str) -> Column:
+        return equal_width_bin(c, edge.getField(f"lo_{c}"), edge.getField(f"hi_{c}"), bins)
+
+    return counts_by(points.select(position(x).alias("x_bin"), position(y).alias("y_bin")), ["x_bin", "y_bin"])
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int = 10_000) -> DataFrame:

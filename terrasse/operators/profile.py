@@ -42,7 +42,7 @@ def table_profile(df: DataFrame, order_by: Sequence[str], digits: int = 3) -> Da
     ordered = F.struct(*[F.col(c).cast("string").alias(f"v{i}") for i, c in enumerate(df.columns)])
     # At most PREVIEW_ROWS rows reach this list.
     listed = head.agg(F.sort_array(F.collect_list(F.struct(*order_by, ordered.alias("__v")))).alias("rows"))
-    both = rates.join(F.broadcast(listed))  # one row each
+    both = rates.withColumn("rows", listed.scalar())
 
     def entry(i: int, f: T.StructField) -> Column:
         values = F.filter(F.transform("rows", lambda r: r["__v"][f"v{i}"]), lambda v: v.isNotNull())

@@ -54,18 +54,16 @@ def keyword_search(df: DataFrame, key: str, text: str, query: str, limit: int |
         ),
         "term-counts",
     )
-    stats = counted.agg(
+    stats = counted.agg(F.struct(
         F.count(F.lit(1)).alias("n"), F.avg("__len").alias("avg_len"),
         *[F.count_if(F.col(f"__tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))],
-    )
-    scored = counted.filter(reduce(lambda a, b: a & b, [F.col(f"__tf{i}") > 0 for i in range(len(terms))])).join(
-        F.broadcast(stats)  # one row
-    )
+    )).scalar()
+    scored = counted.filter(reduce(lambda a, b: a & b, [F.col(f"__tf{i}") > 0 for i in range(len(terms))])).withColumn("__stats", stats)
 
     def part(i: int) -> Column:
-        tf, seen, n = F.col(f"__tf{i}"), F.col(f"df{i}"), F.col("n")
+        tf, seen, n = F.col(f"__tf{i}"), F.col(f"__stats.df{i}"), F.col("__stats.n")
         idf = F.log(F.lit(1.0) + (n - seen + 0.5) / (seen + 0.5))
-        return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("__len") / F.col("avg_len")))
+        return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("__len") / F.col("__stats.avg_len")))
 
     score = F.round(reduce(lambda a, b: a + b, [part(i) for i in range(len(terms))]), digits)
     ranked = scored.select(key, score.alias("score"))

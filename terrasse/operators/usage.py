@@ -200,16 +200,14 @@ def contract_status(rows: DataFrame, has_contract: str = "has_contract", complia
 
 def daily_worst_state(runs: DataFrame, as_of: Column, days: int = 7, ts: str = "ts", state: str = "state") -> DataFrame:
     """Worst state of each of the last ``days`` days; days without a run are ``none``."""
-    rank = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in STATE_PRIORITY.items() for x in p]), F.col(state)), F.lit(0))
-    worst = (
-        runs.groupBy(F.to_date(ts).alias("date"))
-        .agg(F.max(F.struct(rank.alias("priority"), F.col(state).alias("state"))).alias("w"))
-        .select("date", F.when(F.col("w.priority") > 0, F.col("w.state")).alias("state"))
-    )
+    ranks = F.create_map(*[F.lit(x) for pair in STATE_PRIORITY.items() for x in pair])
+    states = F.create_map(*[F.lit(x) for name, n in STATE_PRIORITY.items() for x in (n, name)])
+    rank = F.coalesce(F.try_element_at(ranks, F.col(state)), F.lit(0))
+    worst = runs.groupBy(F.to_date(ts).alias("date")).agg(F.max(rank).alias("__rank"))
     spine = runs.sparkSession.range(1).select(
         F.explode(F.sequence(F.date_sub(as_of.cast("date"), days - 1), as_of.cast("date"))).alias("date")
     )
-    return spine.join(worst, "date", "left").withColumn("state", F.coalesce("state", F.lit("none")))
+    return spine.join(worst, "date", "left").select("date", states[F.coalesce("__rank", F.lit(0))].alias("state"))
 
 
 def views_by_domain(usage: DataFrame, products: DataFrame, product: str = "product_id", domain: str = "domain",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from terrasse.operators import graph, history, measures, rules
 from terrasse.operators.keys import with_existence_flag
 from terrasse.operators.lookup import prefer_reference
+from terrasse.settings import durable
 
 # Event types, statuses, relation types and household labels.
 CREATED, BIRTH, MOVE, DEATH = "citizen.created", "event.birth", "event.relocation", "citizen.died"
@@ -257,6 +258,7 @@ def classify_households(
     counted = labelled.groupBy("household_type", "size_category").agg(
         F.count(key).alias("count"), F.count(F.lit(1)).alias("__rows")
     )
+    counted = durable(counted, "households")
     total = counted.agg(F.sum("__rows")).scalar()
     return counted.withColumn("pct_of_total", F.round(F.col("count") / total * 100, 2)).drop("__rows")
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrasse.operators.rules import retain_recent, update_where
+from terrasse.settings import durable
 from terrasse.sources import snapshots
 
 
@@ -44,6 +45,7 @@ def upsert_table(incoming: DataFrame, table: str, keys: Sequence[str]) -> int:
     spark = incoming.sparkSession
     if not snapshots.exists(spark, table):
         return snapshots.commit(incoming, table, "create")
+    incoming = durable(incoming, "incoming")  # used on both sides of the merge
     return snapshots.commit(upsert(snapshots.read_version(spark, table), incoming, keys), table, "upsert")
 
 
