@@ -171,21 +171,22 @@ def contract_status(spark, sf):
     return U.contract_status(rows).select("product_id", "contract_status", "status_rank").orderBy("status_rank", "product_id")
 
 
-STATE_SQL = "CASE event_type WHEN 'error' THEN 'failed' WHEN 'click' THEN 'running' WHEN 'view' THEN 'queued' WHEN 'purchase' THEN 'success' ELSE 'odd' END"
+STATE_SQL = """CASE WHEN event_type = 'error' AND value > 150 THEN 'failed' WHEN event_type = 'click' AND value > 120 THEN 'running'
+    WHEN event_type = 'view' AND value > 90 THEN 'queued' WHEN event_type = 'purchase' THEN 'success' ELSE 'odd' END"""
 
 
-@query(f"""WITH r AS (SELECT CAST(ts AS DATE) AS date, CASE WHEN value > 50 THEN 'odd' ELSE {STATE_SQL} END AS state FROM events WHERE user_id < 5),
+@query(f"""WITH r AS (SELECT CAST(ts AS DATE) AS date, {STATE_SQL} AS state FROM events),
     w AS (SELECT date, max(CASE state WHEN 'failed' THEN 4 WHEN 'running' THEN 3 WHEN 'queued' THEN 2 WHEN 'success' THEN 1 ELSE 0 END) AS p FROM r GROUP BY 1)
     SELECT CAST(d AS DATE) AS date, CASE coalesce(p, 0) WHEN 4 THEN 'failed' WHEN 3 THEN 'running' WHEN 2 THEN 'queued' WHEN 1 THEN 'success' ELSE 'none' END AS state
-    FROM (SELECT unnest(generate_series(DATE '2024-01-25', DATE '2024-01-31', INTERVAL 1 DAY)) AS d) LEFT JOIN w ON CAST(d AS DATE) = date""")
+    FROM (SELECT unnest(generate_series(DATE '2024-01-02', DATE '2024-01-31', INTERVAL 1 DAY)) AS d) LEFT JOIN w ON CAST(d AS DATE) = date""")
 def daily_worst_status(spark, sf):
-    kind = F.col("event_type")
+    def rare(kind, least):
+        return (F.col("event_type") == kind) & (F.col("value") > least)
     state = (
-        F.when(F.col("value") > 50, "odd").when(kind == "error", "failed").when(kind == "click", "running")
-        .when(kind == "view", "queued").when(kind == "purchase", "success").otherwise("odd")
+        F.when(rare("error", 150), "failed").when(rare("click", 120), "running").when(rare("view", 90), "queued")
+        .when(F.col("event_type") == "purchase", "success").otherwise("odd")
     )
-    runs = table(spark, sf, "events").filter("user_id < 5").select("ts", state.alias("state"))
-    return U.daily_worst_state(runs, as_of())
+    return U.daily_worst_state(table(spark, sf, "events").select("ts", state.alias("state")), as_of(), days=30)
 
 
 @query(f"""WITH {USAGE_SQL}, {PRODUCTS_SQL} SELECT coalesce(domain, '(ukjent)') AS domain, count(*) AS views FROM usage JOIN products USING (product_id) GROUP BY 1""")

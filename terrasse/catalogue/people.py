@@ -297,7 +297,7 @@ def symmetric_pair_first_after(spark, sf):
     SELECT p AS person_id_a, c AS person_id_b, 'FORELDER_AV' AS relation_type, d AS generation_depth FROM t
     UNION ALL SELECT c, p, 'BARN_AV', d FROM t""")
 def closure_depth_n(spark, sf):
-    edges = table(spark, sf, "customer").filter(F.col("c_custkey") > 0).select(
+    edges = table(spark, sf, "customer").select(
         F.floor(F.col("c_custkey") / 2).cast("bigint").alias("ancestor_id"), F.col("c_custkey").alias("descendant_id")
     )
     return graph.mirror_edges(graph.closure(edges), "ancestor_id", "descendant_id", persons.PARENT_OF, persons.CHILD_OF)
@@ -324,7 +324,7 @@ def hierarchy_levels(spark, sf):
     UNION ALL SELECT p, 'downstream', count(*), 1 FROM e GROUP BY p""")
 def lineage_up_down(spark, sf):
     c = F.col("c_custkey")
-    products = table(spark, sf, "customer").filter(c > 0).select(
+    products = table(spark, sf, "customer").select(
         c.alias("product_id"),
         F.array_distinct(F.array(F.floor(c / 2).cast("bigint"), F.floor(c / 3).cast("bigint"))).alias("source_products"),
     )

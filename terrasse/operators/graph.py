@@ -168,6 +168,7 @@ def resolve_hierarchy(
 def lineage(products: DataFrame, product: str = "product_id", sources: str = "source_products", max_depth: int = 5) -> DataFrame:
     """(product, related, direction, depth): all sources up to ``max_depth`` and direct consumers."""
     edges = products.select(F.col(product).alias("descendant_id"), F.explode(sources).alias("ancestor_id"))
+    edges = edges.filter(F.col("ancestor_id") != F.col("descendant_id"))
     upstream = closure(edges, max_depth=max_depth).select(
         F.col("descendant_id").alias(product),
         F.col("ancestor_id").alias("related_id"),

@@ -181,3 +181,22 @@ def analysis(df: DataFrame, template: str, column: str | None = None) -> DataFra
     if template == "explore":
         return M.null_rates(df, digits=1, factor=100).orderBy(F.col("null_rate").desc())
     raise ValueError(f"unknown template {template!r}")
+
+
+def dashboard(df: DataFrame, kind: str, column: str | None = None, place: Sequence[str] = ("municipality_code", "municipality_name"),
+              columns: Sequence[str] | None = None, order_by: Sequence[str] | None = None) -> DataFrame:
+    """The dashboard queries: overview, time series, places, table."""
+    from terrasse.operators import measures as M
+
+    if kind == "overview":
+        return df.agg(F.count(F.lit(1)).alias("total_rader"))
+    if kind == "timeseries":
+        c = column or next((c for c in df.columns if any(s in c.lower() for s in ("date", "time", "_at", "ts", "period"))), "event_date")
+        when = F.try_to_timestamp(c) if dict(df.dtypes)[c] == "string" else F.col(c)
+        # rows without a date form a group of their own here
+        return M.counts_by(df.select(F.date_trunc("month", when).alias("periode")), ["periode"], "antall").orderBy("periode")
+    if kind == "geo":
+        return M.counts_by(df, list(place), "antall").orderBy(F.col("antall").desc(), *place)
+    if kind == "table":
+        return preview(df, columns or df.columns, order_by or df.columns, 1000)
+    raise ValueError(f"unknown dashboard {kind!r}")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -262,12 +260,3 @@ def classify_households(
     total = counted.agg(F.sum("__rows")).scalar()
     return counted.withColumn("pct_of_total", F.round(F.col("count") / total * 100, 2)).drop("__rows")
 
-
-def required_columns(table: str) -> Sequence[str]:
-    """Columns the quality rules of a person table require."""
-    # Fixed values.
-    return {
-        "person_registry": ("person_id",),
-        "family_relations": ("person_id_a", "person_id_b"),
-        "residence_history": ("person_id",),
-    }[table]
