@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from terrasse.operators.measures import top_k
 from terrasse.settings import durable
 
-# BM25 parameters and the size of a result page.
+# BM25 parameters, the size of a result page and of a snippet.
 K1, B = 1.2, 0.75
 PAGE = 20
+SNIPPET_WORDS = 20
 
 
 def tokens(text: str | Column) -> Column:
@@ -76,18 +77,27 @@ def substring_search(df: DataFrame, key: str, text: str, query: str, limit: int
     return top_k(found, [F.col(key).asc()], limit) if limit else found
 
 
+def snippet(text: str | Column, term: str, words: int = SNIPPET_WORDS) -> Column:
+    """The words around the first occurrence of ``term``, with every occurrence marked; empty without one."""
+    t = F.col(text) if isinstance(text, str) else text
+    around = rf"(?iu)(?:\S+\s+){{0,{words // 2}}}\S*{term}\S*(?:\s+\S+){{0,{words // 2}}}"
+    return F.regexp_replace(F.regexp_extract(t, around, 0), rf"(?iu)({term})", "<mark>$1</mark>")
+
+
 def product_text(products: DataFrame, fields: Sequence[str], arrays: Sequence[str] = ()) -> Column:
     """Search text of a product: its text fields, tags and column names."""
     return F.concat_ws(" ", *[F.col(c) for c in fields], *[F.concat_ws(" ", c) for c in arrays])
 
 
 def product_search(products: DataFrame, query: str, usage: DataFrame | None = None, limit: int = PAGE) -> DataFrame:
-    """Search registered products; adds matching column names and recent views."""
+    """Search registered products; adds matching column names, a text snippet and recent views."""
     text = product_text(products, ["name", "description", "domain", "owner"], ["tags", "columns"])
     found = keyword_search(products.withColumn("__text", text), "product_id", "__text", query, limit)
     q = query.lower()
     matches = F.filter("columns", lambda c: F.contains(F.lower(c), F.lit(q)))
-    out = products.join(F.broadcast(found), "product_id").withColumn("column_matches", matches)  # one page
+    terms = query_terms(query)
+    shown = snippet(text, terms[0]) if terms else F.lit("")
+    out = products.join(F.broadcast(found), "product_id").withColumns({"column_matches": matches, "snippet": shown})  # one page
     if usage is None:
         return out.withColumn("views", F.lit(0))
     return out.join(usage.select("product_id", "views"), "product_id", "left").fillna(0, subset=["views"])

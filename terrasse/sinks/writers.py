@@ -4,32 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Replace only the partitions present in ``df``; running it twice changes nothing.
+    """Replace only the partitions present in ``df``; running it twice changes nothing."""
+    writer = _layout(df, partition_by).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
-    The rebalance hint lets adaptive execution gather small partitions into one file and split a
-    large one over many tasks.
+
+def _layout(df: DataFrame, partition_by: Sequence[str]) -> DataFrameWriter:
+    """Writer with its partitioning.
+
+    The rebalance hint lets adaptive execution gather a small partition into one file and split a
+    large one over many tasks, instead of one file per task and partition.
     """
-    spread = df.hint("rebalance", *partition_by)
-    (
-        spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
-    )
+    return df.hint("rebalance", *partition_by).write.partitionBy(*partition_by) if partition_by else df.write
 
 
 def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace rows and schema."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    """Replace rows and schema; ``df`` must not read ``path`` itself."""
+    _layout(df, partition_by).mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Append; readers merge the schemas (``mergeSchema``)."""
-    writer = df.write.mode("append")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    _layout(df, partition_by).mode("append").parquet(path)
 
 
 def read_evolved(spark, path: str) -> DataFrame:

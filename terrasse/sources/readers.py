@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrasse.functions.scalars import object_store_path
+from terrasse.sources import snapshots
 
 FORMATS = ("csv", "json", "parquet")
 
@@ -34,7 +35,11 @@ def read_files(spark: SparkSession, path: str, fmt: str, schema: str | None = No
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(object_store_path(path))
+    """The current rows of a table: the newest version of a snapshot table, else all files of the path."""
+    path = object_store_path(path)
+    if fmt == "parquet" and snapshots.exists(spark, path):
+        return snapshots.read_version(spark, path)
+    return spark.read.format(fmt).load(path)
 
 
 def read_code_file(spark: SparkSession, path: str, separator: str = ";", padded: dict[str, int] | None = None) -> DataFrame:

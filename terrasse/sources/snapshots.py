@@ -41,7 +41,8 @@ def commit(df: DataFrame, table: str, operation: str, partition_by: tuple[str, .
     last = current_version(spark, table)
     version = 0 if last is None else last + 1
     seen = Observation("written")
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")  # replaces what a failed attempt left
+    balanced = df.hint("rebalance", *partition_by) if partition_by else df
+    writer = balanced.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")  # replaces a failed attempt
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{table}/snapshot={version}")
     stamp = F.current_timestamp() if ts is None else F.lit(ts)
     spark.range(0, 1, 1, 1).select(

@@ -134,6 +134,7 @@ def test_product_search(spark, catalogue):
     usage = spark.createDataFrame([("a", 7)], "product_id string, views int")
     found = search.product_search(catalogue, "PAY roll", usage)
     assert rows(found, "product_id", "views") == [("a", 7), ("e", 0)]
+    assert found.filter("product_id = 'e'").first().snippet == "Eps <mark>pay</mark>-roll hr t9"
     assert rows(search.product_search(catalogue, "x"), "product_id", "column_matches") == [("a", ["x"]), ("b", ["x"])]
     assert rows(search.keyword_search(catalogue, "product_id", "description", "-"), "product_id") == [("e",)]
     assert search.keyword_search(catalogue, "product_id", "description", "absent").count() == 0

@@ -150,6 +150,15 @@ def test_snapshot_table_life(spark, tmp_path):
     assert snapshots.history(spark, table).first().operation == "overwrite"
 
 
+def test_plain_reader_sees_the_current_version_only(spark, tmp_path):
+    table, plain = str(tmp_path / "t"), str(tmp_path / "p")
+    snapshots.commit(spark.range(5), table, "create")
+    snapshots.commit(spark.range(2), table, "overwrite")
+    spark.range(3).write.parquet(plain)
+    assert readers.read_table(spark, table).count() == 2 and readers.read_table(spark, table).columns == ["id"]
+    assert readers.read_table(spark, plain).count() == 3
+
+
 def test_time_travel_by_time(spark, tmp_path):
     table = str(tmp_path / "t")
     for day in (1, 2, 3):
