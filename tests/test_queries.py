@@ -6,6 +6,7 @@ from oracle import compare, connect
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from terrasse.catalogue import ORACLES, QUERIES
 from terrasse.catalogue.base import table
 from terrasse.operators import graph, history, keys, measures
 
@@ -17,9 +18,9 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    ok, note = compare(spark, con, SF, driver.queries()[name], driver.oracle_sql().get(name))
+    ok, note = compare(spark, con, SF, QUERIES[name], ORACLES.get(name))
     assert ok, note
 
 
@@ -28,11 +29,11 @@ def test_entry(spark):
 
 
 def test_only_the_sample_lacks_sql():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"hash_sample"}
+    assert set(QUERIES) - set(ORACLES) == {"hash_sample"}
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    text = plan(driver.queries()["filter_isin"](spark, SF))
+    text = plan(QUERIES["filter_isin"](spark, SF))
     assert "PushedFilters: [" in text and "In(event_type, [purchase,signup])" in text
     assert "props" not in text.split("ReadSchema")[1]
 
@@ -67,5 +68,5 @@ def test_in_out_net_reads_once(spark):
 
 def test_no_operator_uses_python_workers(spark):
     for name in ("scd2_accumulate", "closure_depth_n", "payload_profile", "keyword_search", "manifest_violations", "quality_report"):
-        text = plan(driver.queries()[name](spark, SF))
+        text = plan(QUERIES[name](spark, SF))
         assert "Python" not in text and "Pandas" not in text
