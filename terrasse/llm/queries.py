@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrasse.llm import line_ledger, quality_ledger, simhash
+from terrasse.llm import block_anchors, line_ledger, quality_ledger, simhash
 from terrasse.settings import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,30 @@ def op1_quality_ledger(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+REPEATS_SQL = r"""WITH split AS (
+  SELECT doc_id, [x FOR x IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS ws FROM documents),
+word AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM split),
+win AS (
+  SELECT doc_id, p, count(*) OVER f AS n, string_agg(w, ' ') OVER f AS seq
+  FROM word WINDOW f AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+full_win AS (SELECT doc_id, p, sha256(seq) AS h FROM win WHERE n = 50),
+low AS (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY h) AS lo FROM full_win),
+start AS (SELECT doc_id, p FROM low WHERE lo < doc_id),
+marked AS (
+  SELECT doc_id, p, w, coalesce(max(s) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) = 1 AS gone
+  FROM (SELECT word.*, CASE WHEN start.p IS NULL THEN 0 ELSE 1 END AS s FROM word LEFT JOIN start USING (doc_id, p))),
+kept AS (
+  SELECT doc_id, CAST(count(*) FILTER (gone) AS BIGINT) AS n_removed, string_agg(w, ' ' ORDER BY p) FILTER (NOT gone) AS t
+  FROM marked GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)"""
+
+
+@query(REPEATS_SQL)
+def op6_block_anchors(spark: SparkSession, sf: str) -> DataFrame:
+    return block_anchors.remove_repeats(table(spark, sf, "documents")).drop("kept_text")
+
+
 @query()
 def op7_simhash_tiles(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))

@@ -87,8 +87,7 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     have = _POWERS.get(base)
     if have is None or len(have[0]) < n:
         size = 1 << max(16, (n - 1).bit_length())
-        with np.errstate(over="ignore"):
-            have = tuple(np.cumprod(np.concatenate(([1], np.full(size - 1, b, np.uint64))).astype(np.uint64), dtype=np.uint64) for b in (base, pow(base, -1, 1 << 64)))
+        have = tuple(np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size - 1, b, np.uint64))), dtype=np.uint64) for b in (base, pow(base, -1, 1 << 64)))
         _POWERS[base] = have
     return have
 
