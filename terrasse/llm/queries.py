@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrasse.llm import block_anchors, line_ledger, quality_ledger, simhash
+from terrasse.llm import block_anchors, line_ledger, piece_codec, quality_ledger, sampled_splitters, separator_scan, simhash, string_tiling
+from terrasse.llm.viterbi import Pieces
 from terrasse.settings import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +75,19 @@ def op1_quality_ledger(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query()
+def op3_streaming_viterbi(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of every text, and whether they decode to it again."""
+    pieces = Pieces.load(piece_codec.MODEL)
+    rows = piece_codec.decode_documents(piece_codec.encode_documents(table(spark, sf, "documents").select("doc_id", "text"), pieces), pieces)
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"), "ids")
+
+
+@query()
+def op4_separator_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return separator_scan.count_tokens(table(spark, sf, "documents"), fresh_path(spark, "tokens"), piece_codec.MODEL)
+
+
 REPEATS_SQL = r"""WITH split AS (
   SELECT doc_id, [x FOR x IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS ws FROM documents),
 word AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM split),
@@ -103,6 +117,12 @@ def op7_simhash_tiles(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+@query()
+def op8_sampled_splitters(spark: SparkSession, sf: str) -> DataFrame:
+    rows = sampled_splitters.shards_by_bytes(table(spark, sf, "documents"))
+    return rows.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
 @query(r"""WITH line AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS l,
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS p
@@ -121,3 +141,8 @@ def op9_line_ledger(spark: SparkSession, sf: str) -> DataFrame:
     ledger.insert(docs)
     return ledger.clean(docs).select(
         "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query()
+def op10_string_tiling(spark: SparkSession, sf: str) -> DataFrame:
+    return string_tiling.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
