@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrasse.llm import block_anchors, line_ledger, piece_codec, quality_ledger, sampled_splitters, separator_scan, simhash, string_tiling
+from terrasse.llm import block_anchors, line_ledger, merkle_fixity, piece_codec, quality_ledger, sampled_splitters, separator_scan, simhash, string_tiling
 from terrasse.llm.viterbi import Pieces
 from terrasse.settings import fresh_path
 
@@ -75,6 +75,28 @@ def op1_quality_ledger(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(r"""WITH built AS (
+  SELECT coalesce(CAST(floor(page_id / 1000) AS BIGINT), -1) AS file, page_id AS record,
+         'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')
+         || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, ''))
+         || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS payload
+  FROM pages),
+placed AS (
+  SELECT file, record, CAST(strlen(payload) AS BIGINT) AS length,
+         CAST(coalesce(sum(strlen(payload)) OVER (PARTITION BY file ORDER BY record, payload ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
+  FROM built),
+marked AS (SELECT *, md5(file || ':' || "offset") AS m FROM placed)
+SELECT file, "offset", length, record, CASE WHEN m LIKE '00%' THEN 'changed' ELSE 'missing' END AS fault
+FROM marked WHERE m LIKE '00%' OR m LIKE '01%'""")
+def op2_merkle_fixity(spark: SparkSession, sf: str) -> DataFrame:
+    """All pages as WARC records, against a replica in which a byte of some records rotted and others are lost."""
+    records = merkle_fixity.page_records(table(spark, sf, "pages"))
+    mark = F.md5(F.concat_ws(":", "file", "offset"))
+    rotten = F.concat(F.lit(b"X"), F.expr("substring(payload, 2)"))
+    replica = records.where(~mark.startswith("01")).withColumn("payload", F.when(mark.startswith("00"), rotten).otherwise(F.col("payload")))
+    return merkle_fixity.audit(records, replica)
+
+
 @query()
 def op3_streaming_viterbi(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of every text, and whether they decode to it again."""
