@@ -130,12 +130,14 @@ class Items:
         probe, at = probe[some], at[some]
         low, high = np.searchsorted(self.seeds, probe, "left"), np.searchsorted(self.seeds, probe, "right")
         n = high - low
+        if not n.sum():
+            return []
         place = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
         row = np.repeat(np.searchsorted(starts, at, "right") - 1, n)
         # Tiles lie within shared seeds, so the item tokens that shared seeds cover bound the coverage.
         triple = np.unique(np.stack((row, self.item[place], self.at[place])), axis=1)
         out = []
-        pair = np.flatnonzero(np.concatenate(([True], (np.diff(triple[0]) != 0) | (np.diff(triple[1]) != 0)))) if triple.shape[1] else []
+        pair = np.flatnonzero(np.concatenate(([True], (np.diff(triple[0]) != 0) | (np.diff(triple[1]) != 0))))
         for x, y in zip(pair, np.append(pair[1:], triple.shape[1]), strict=True):
             r, item = int(triple[0, x]), int(triple[1, x])
             a = self.tokens[item]
