@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrasse.llm import block_anchors, line_ledger, merkle_fixity, piece_codec, quality_ledger, sampled_splitters, separator_scan, simhash, string_tiling
+from terrasse.llm import block_anchors, line_ledger, merkle_fixity, piece_codec, quality_ledger, sampled_splitters, separator_scan, simhash, string_tiling, subword_toxicity
 from terrasse.llm.viterbi import Pieces
 from terrasse.settings import fresh_path
 
@@ -110,6 +110,15 @@ def op4_separator_scan(spark: SparkSession, sf: str) -> DataFrame:
     return separator_scan.count_tokens(table(spark, sf, "documents"), fresh_path(spark, "tokens"), piece_codec.MODEL)
 
 
+@query()
+def op5_subword_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Trained on labelled rows outside the held-out fold, on all documents."""
+    docs, fold = table(spark, sf, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    labels = table(spark, sf, "labels").where(fold != 0)
+    rows = subword_toxicity.score(docs, subword_toxicity.learn(docs, labels))
+    return rows.select("doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 REPEATS_SQL = r"""WITH split AS (
   SELECT doc_id, [x FOR x IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS ws FROM documents),
 word AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM split),
