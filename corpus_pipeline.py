@@ -48,8 +48,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, the ids of the text, their number, and whether they decode to the text."""
     pieces = Pieces.load(piece_codec.MODEL)
-    rows = piece_codec.decode_documents(piece_codec.encode_documents(docs.select("doc_id", "text"), pieces), pieces)
-    return rows.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+    rows = piece_codec.encode_documents(docs.select("doc_id", "text"), pieces, proof="round_trip")
+    return rows.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), "round_trip")
 
 
 STAGES = [("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate), ("encode", encode)]

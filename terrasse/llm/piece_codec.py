@@ -7,31 +7,37 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
-from terrasse.llm.viterbi import Encoder, Pieces, decode
-from terrasse.llm.words import slices
+from terrasse.llm.viterbi import Encoder, Pieces, decode_lists
+from terrasse.llm.words import plain, slices
 
+SLICE_BYTES = 1 << 20  # encoding needs some hundred bytes of arrays for each byte of distinct words
 MODEL = os.path.join("/opt/tokenizers", "piece_bpe_32k.model")
 
 
-def encode_documents(docs: DataFrame, pieces: Pieces, text: str = "text", out: str = "ids") -> DataFrame:
+def encode_documents(docs: DataFrame, pieces: Pieces, text: str = "text", out: str = "ids", proof: str | None = None) -> DataFrame:
     """``docs`` with all columns and the ids of each text; null and empty texts have an empty list.
 
-    The vocabulary (one model file) goes to every task; a column named like ``out`` is replaced.
+    ``proof`` names a further column that says whether the ids decode to the text again.  The
+    vocabulary (one model file) goes to every task; columns named like the new ones are replaced.
     """
     known = docs.sparkSession.sparkContext.broadcast(pieces)
-    docs = docs.drop(out)
-    at, names = docs.columns.index(text), [*docs.columns, out]
+    made = [StructField(out, ArrayType(IntegerType()))] + ([StructField(proof, BooleanType())] if proof else [])
+    docs = docs.drop(*[f.name for f in made])
+    at, names = docs.columns.index(text), [*docs.columns, *[f.name for f in made]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(known.value)
-        for part in slices(batches, at):
+        for part in slices(batches, at, SLICE_BYTES):
             starts, ids = encoder.encode(part.column(at))
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids))], names=names)
+            lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids))
+            extra = [pc.equal(decode_lists(known.value, lists), plain(part.column(at)))] if proof else []
+            yield pa.RecordBatch.from_arrays([*part.columns, lists, *extra], names=names)
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out, ArrayType(IntegerType()))]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, *made]))
 
 
 def encoded_bytes(texts: DataFrame, pieces: Pieces, width: int) -> DataFrame:
@@ -40,7 +46,7 @@ def encoded_bytes(texts: DataFrame, pieces: Pieces, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(known.value)
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE_BYTES):
             starts, ids = encoder.encode(part.column("text"))
             body = pa.py_buffer(ids.astype(kind))
             yield pa.RecordBatch.from_arrays(
@@ -59,7 +65,6 @@ def decode_documents(rows: DataFrame, pieces: Pieces, ids: str = "ids", out: str
         for batch in batches:
             for a in range(0, batch.num_rows, 1000):
                 part = batch.slice(a, 1000)
-                texts = [None if x is None else decode(known.value, x) for x in part.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=names)
+                yield pa.RecordBatch.from_arrays([*part.columns, decode_lists(known.value, part.column(at))], names=names)
 
     return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(out, StringType())]))

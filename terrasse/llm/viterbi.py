@@ -70,6 +70,8 @@ class Pieces:
         self.spoken = [t.replace(MARK, " ").encode() for t in self.texts]
         for b, i in enumerate(self.byte_ids):
             self.spoken[i] = bytes([b])
+        self.voice = np.frombuffer(b"".join(self.spoken), np.uint8)
+        self.voice_ends = np.concatenate(([0], np.cumsum(np.fromiter(map(len, self.spoken), np.int64, len(self.spoken)))))
         self.reach = max(map(len, self.texts))
         self.scores = [round(s * SCALE) for s in self.scores]
         self.lowest = min(s for s, t in zip(self.scores, self.texts, strict=True) if t) - round(BYTE_PENALTY * SCALE)
@@ -237,15 +239,16 @@ class Encoder:
 
     def segments(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each distinct segment (space in front already there)."""
-        chars = np.frombuffer(b"".join(parts.to_pylist()).decode().encode("utf-32-le"), np.uint32).astype(np.int64)
-        length = pc.utf8_length(parts.cast(pa.string())).to_numpy().astype(np.int64)
+        parts = parts.cast(pa.string())
+        chars = np.frombuffer(text_bytes(parts)[0].tobytes().decode().encode("utf-32-le"), np.uint32)
+        length = pc.utf8_length(parts).to_numpy().astype(np.int64)
         ends = np.cumsum(length)
         short = length <= LANE
         lane, counts, ids = self.lanes(chars, ends - length, length, short)
         pieces: dict[int, np.ndarray] = {}
         for i in np.flatnonzero(~short):
             stream = Stream(self.p, start=False)
-            body = chars[ends[i] - length[i] : ends[i]].astype(np.uint32).tobytes().decode("utf-32-le")
+            body = chars[ends[i] - length[i] : ends[i]].tobytes().decode("utf-32-le")
             pieces[int(i)] = np.array([*stream.feed(body), *stream.finish()], np.int32)
         total = np.zeros(len(parts), np.int64)
         total[lane] = counts
@@ -330,7 +333,23 @@ class Encoder:
         return lane, count, ids.astype(np.int32)
 
 
+def spell(pieces: Pieces, starts: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of many lists of ids in a row, the space in front of each still there, and their ends."""
+    begin = pieces.voice_ends[ids]
+    count = pieces.voice_ends[ids + 1] - begin
+    ends = np.concatenate(([0], np.cumsum(count)))[starts]
+    return pieces.voice[np.repeat(begin, count) + runs_of(count)], ends
+
+
+def decode_lists(pieces: Pieces, lists: pa.Array) -> pa.Array:
+    """The text of each list of ids; control ids say nothing, broken bytes become replacement characters, null stays null."""
+    starts, ids = lists.offsets.to_numpy().astype(np.int64), lists.flatten().to_numpy().astype(np.int64)
+    data, ends = spell(pieces, starts - starts[0], ids)
+    whole = data.tobytes()
+    texts = [whole[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+    texts = [(t[1:] if t[:1] == b" " else t).decode("utf-8", "replace") for t in texts]
+    return pa.array([t if ok else None for t, ok in zip(texts, lists.is_valid().to_pylist(), strict=True)], pa.string())
+
+
 def decode(pieces: Pieces, ids: list[int]) -> str:
-    """The text of ids; control ids say nothing, broken bytes become replacement characters."""
-    said = b"".join([pieces.spoken[i] for i in ids])
-    return said[1:].decode("utf-8", "replace") if said[:1] == b" " else said.decode("utf-8", "replace")
+    return decode_lists(pieces, pa.array([ids], pa.list_(pa.int32())))[0].as_py()
