@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 from terrasse.llm.words import plain, runs_of, text_bytes
 
 MARK = "▁"
+CACHE = 250_000  # distinct cuts whose ids an encoder remembers from batch to batch; a full memory starts anew
 LANE = 64  # longest cut, in characters, that is encoded side by side with others
 BYTE_PENALTY = 10.0
 SCALE = 1 << 20  # scores are whole multiples of 1 / SCALE, so that sums are exact and ties the same everywhere
@@ -212,6 +213,11 @@ class Encoder:
     def __init__(self, pieces: Pieces):
         self.p = pieces
         self.byte_ids = np.array(pieces.byte_ids, np.int32)
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.at, self.ids = np.zeros(1, np.int64), np.zeros(0, np.int32)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Where each row's ids start, and all ids.  A null or empty text has no ids."""
@@ -231,12 +237,26 @@ class Encoder:
             return np.zeros(n + 1, np.int64), np.zeros(0, np.int32)
         offsets = np.append(cut, len(data)).astype(np.int32)
         parts = pa.Array.from_buffers(pa.binary(), len(cut), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
-        at, ids = self.segments(parts.dictionary)
-        which = parts.indices.to_numpy()
-        count = np.diff(at)[which]
-        flat = ids[np.repeat(at[which], count) + runs_of(count)]
+        which = self.remembered(parts.dictionary)[parts.indices.to_numpy()]
+        count = np.diff(self.at)[which]
+        flat = self.ids[np.repeat(self.at[which], count) + runs_of(count)]
         return np.concatenate(([0], np.cumsum(count)))[first], flat
 
+    def remembered(self, parts: pa.Array) -> np.ndarray:
+        """Number of each distinct segment in ``at`` and ``ids``, new ones encoded and added."""
+        names = parts.to_pylist()
+        if len(self.number) + len(names) > CACHE:
+            self.forget()
+        known = self.number.get
+        number = np.fromiter((known(name, -1) for name in names), np.int64, len(names))
+        fresh = np.flatnonzero(number < 0)
+        if len(fresh):
+            at, ids = self.segments(parts.take(pa.array(fresh)))
+            number[fresh] = np.arange(len(self.number), len(self.number) + len(fresh))
+            self.number.update((names[i], n) for i, n in zip(fresh.tolist(), number[fresh].tolist(), strict=True))
+            self.at, self.ids = np.concatenate((self.at, at[1:] + self.at[-1])), np.concatenate((self.ids, ids))
+        return number
+
     def segments(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each distinct segment (space in front already there)."""
         parts = parts.cast(pa.string())
