@@ -32,9 +32,10 @@ SCALE = 1 << 20  # scores are whole multiples of 1 / SCALE, so that sums are exa
 NEVER = -(1 << 62)
 
 
-def zipf(rank: float) -> float:
-    """Log probability, but for a constant, of the piece of a rank."""
-    return -float(np.log(rank + 2.0))
+def zipf(ranks: list[float]) -> list[float]:
+    """Log probabilities of pieces whose frequency falls as one over their rank."""
+    share = 1 / (np.array(ranks) + 2.0)
+    return np.log(share / share.sum()).tolist()
 
 
 @dataclass
@@ -62,8 +63,11 @@ class Pieces:
             real = not (model.IsByte(i) or model.IsControl(i) or model.IsUnknown(i) or model.IsUnused(i))
             texts.append(model.IdToPiece(i) if real else "")
             scores.append(model.GetScore(i))
-        merges = all(s == int(s) for s in scores)
-        return cls(texts, [zipf(-s) if merges else s for s in scores], byte_ids, model.bos_id(), model.eos_id())
+        if all(s == int(s) for s in scores):
+            real = [i for i, t in enumerate(texts) if t]
+            for i, score in zip(real, zipf([-scores[i] for i in real]), strict=True):
+                scores[i] = score
+        return cls(texts, scores, byte_ids, model.bos_id(), model.eos_id())
 
     def __post_init__(self) -> None:
         if min(self.byte_ids) < 0:
