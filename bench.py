@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from terrasse.catalogue import QUERIES
@@ -23,6 +24,7 @@ def main() -> None:
         "spark.sql.shuffle.partitions": cpus,
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
         "spark.ui.enabled": "false",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
         "spark.ui.showConsoleProgress": "false",
     })
     spark.sparkContext.setLogLevel("ERROR")

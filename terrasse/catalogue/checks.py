@@ -78,22 +78,21 @@ def contract_checks(spark, sf):
     return quality.run_checks(df, quality.contract_checks(df, ["o_orderkey", "status", "promised"], 0.05, 95))
 
 
-PROFILE_SQL = """WITH t AS (SELECT c_custkey, c_name AS name, nullif(c_mktsegment, 'BUILDING') AS segment FROM customer),
-  h AS (SELECT * FROM t ORDER BY c_custkey LIMIT 100),
-  s AS (SELECT 'c_custkey' AS name, c_custkey AS pos, CAST(c_custkey AS VARCHAR) AS v FROM h
-        UNION ALL SELECT 'segment', c_custkey, segment FROM h WHERE segment IS NOT NULL),
-  f AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY pos) AS rn FROM s QUALIFY rn <= 20),
-  d AS (SELECT name, v, min(pos) AS pos FROM f GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY name ORDER BY min(pos)) <= 4),
-  g AS (SELECT name, string_agg(v, '|' ORDER BY pos) AS samples FROM d GROUP BY 1)
-  SELECT 'c_custkey' AS name, 'bigint' AS type, round(avg(CAST(c_custkey IS NULL AS DOUBLE)), 3) AS null_rate, (SELECT samples FROM g WHERE g.name = 'c_custkey') AS samples, false AS pii_hint FROM t
+def _samples_sql(column: str) -> str:
+    return f"""(SELECT string_agg(v, '|' ORDER BY v) FROM (SELECT min(CAST({column} AS VARCHAR)) AS v FROM t WHERE {column} IS NOT NULL
+        GROUP BY ascii(md5(CAST({column} AS VARCHAR))) % 8 ORDER BY v LIMIT 4))"""
+
+
+PROFILE_SQL = f"""WITH t AS (SELECT c_custkey, c_name AS name, nullif(c_mktsegment, 'BUILDING') AS segment FROM customer)
+  SELECT 'c_custkey' AS name, 'bigint' AS type, round(avg(CAST(c_custkey IS NULL AS DOUBLE)), 3) AS null_rate, {_samples_sql('c_custkey')} AS samples, false AS pii_hint FROM t
   UNION ALL SELECT 'name', 'string', round(avg(CAST(name IS NULL AS DOUBLE)), 3), '***|***|***|***', true FROM t
-  UNION ALL SELECT 'segment', 'string', round(avg(CAST(segment IS NULL AS DOUBLE)), 3), (SELECT samples FROM g WHERE g.name = 'segment'), false FROM t"""
+  UNION ALL SELECT 'segment', 'string', round(avg(CAST(segment IS NULL AS DOUBLE)), 3), {_samples_sql('segment')}, false FROM t"""
 
 
 @query(PROFILE_SQL)
 def table_profile(spark, sf):
     df = table(spark, sf, "customer").select("c_custkey", F.col("c_name").alias("name"), F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment"))
-    return profile.table_profile(df, ["c_custkey"]).select("name", "type", "null_rate", F.concat_ws("|", "sample_values").alias("samples"), "pii_hint")
+    return profile.table_profile(df).select("name", "type", "null_rate", F.concat_ws("|", "sample_values").alias("samples"), "pii_hint")
 
 
 @query("""WITH t AS (SELECT CASE WHEN event_type <> 'error' THEN value END AS amount FROM events)
@@ -120,12 +119,26 @@ def payload_samples(spark, sf):
     UNION ALL SELECT 'props', CASE WHEN count(DISTINCT props) <= 20 THEN 'categorical' ELSE 'other' END FROM events""")
 def column_roles(spark, sf):
     df = table(spark, sf, "events").select("event_id", "ts", "event_type", "value", "props", F.date_format("ts", "yyyy-MM-dd").alias("day"))
-    return profile.column_roles(df, ["event_id"])
+    return profile.column_roles(df)
+
+
+def _chart(df, wanted: str, **how):
+    kind, data = profile.chart_data(df, **how)
+    if kind != wanted:
+        raise AssertionError(kind)
+    return data
 
 
 @query("""SELECT event_type, round(sum(value), 2) AS value FROM events GROUP BY 1""")
 def chart_bar(spark, sf):
-    kind, data = profile.chart_data(table(spark, sf, "events").select("event_type", "value"), ["value"])
-    if kind != "bar":
-        raise AssertionError(kind)
-    return data.withColumn("value", F.round("value", 2))
+    return _chart(table(spark, sf, "events").select("event_type", "value"), "bar").withColumn("value", F.round("value", 2))
+
+
+@query("SELECT ts, value FROM events WHERE ts IS NOT NULL AND value IS NOT NULL")
+def chart_line(spark, sf):
+    return _chart(table(spark, sf, "events").select("ts", "value"), "line")
+
+
+@query("SELECT l_quantity, l_discount FROM lineitem")
+def chart_scatter(spark, sf):
+    return _chart(table(spark, sf, "lineitem").select("l_quantity", "l_discount"), "scatter", points=True)

@@ -90,12 +90,12 @@ def monthly_counts(spark, sf):
     return out.withColumn("period", F.to_date("period"))
 
 
-@query("""WITH m AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period, count(*) AS n FROM orders WHERE o_totalprice > 499000 GROUP BY 1)
-    SELECT CAST(s AS DATE) AS period, coalesce(n, 0) AS n
-    FROM (SELECT unnest(generate_series((SELECT min(period) FROM m), (SELECT max(period) FROM m), INTERVAL 1 MONTH)) AS s) LEFT JOIN m ON CAST(s AS DATE) = period""")
+@query("""WITH m AS (SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS period, count(*) AS n FROM orders GROUP BY 1, 2),
+    s AS (SELECT o_custkey, CAST(unnest(generate_series(min(period), max(period), INTERVAL 1 MONTH)) AS DATE) AS period FROM m GROUP BY 1)
+    SELECT o_custkey, period, coalesce(n, 0) AS n FROM s LEFT JOIN m USING (o_custkey, period)""")
 def monthly_spine(spark, sf):
-    rare = measures.monthly_counts(table(spark, sf, "orders").filter(F.col("o_totalprice") > 499000), "o_orderdate")
-    return measures.fill_months(rare).withColumn("period", F.to_date("period"))
+    months = measures.monthly_counts(table(spark, sf, "orders"), "o_orderdate", ["o_custkey"])
+    return measures.fill_months(months, keys=["o_custkey"]).withColumn("period", F.to_date("period"))
 
 
 @query("""SELECT c_nationkey, n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2""")
@@ -173,7 +173,7 @@ def null_rates(spark, sf):
     ))
 
 
-@query()
+@query("SELECT event_id, value FROM events ORDER BY md5('42|' || event_id), event_id, value LIMIT 1000")
 def hash_sample(spark, sf):
     return measures.hash_sample(table(spark, sf, "events").select("event_id", "value"), ["event_id"], 1000)
 

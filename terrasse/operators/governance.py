@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from terrasse.functions import schemas as S
 from terrasse.functions.versions import resolve_version
@@ -148,34 +149,44 @@ def version_changes(versions: DataFrame, watched: Sequence[str], key: str = "pro
                     columns: str | None = None) -> DataFrame:
     """What changed against the version before: ``changes`` and ``added`` / ``removed`` columns.
 
-    ``columns`` names an array column with the declared column names.
+    ``columns`` names an array column with the declared column names, or structs of name and
+    type; a change of types alone is one text.  A watched array (tags) only says that it changed.
     """
     lag = {f"__p_{c}": c for c in watched}
+    typed = bool(columns) and isinstance(versions.schema[columns].dataType.elementType, StructType)
     if columns:
         lag[f"__p_{columns}"] = columns
     seen = over_order(versions.withColumn("__one", F.lit(1)), [key], list(order), lag={**lag, "__had": "__one"})
     first = F.col("__had").isNull()
 
     def change(c):
+        if isinstance(versions.schema[c].dataType, ArrayType):
+            return F.when(~first & ~F.col(f"__p_{c}").eqNullSafe(F.col(c)), F.lit(f"{c} changed"))
         before, now = F.col(f"__p_{c}").cast("string"), F.col(c).cast("string")
         text = F.when(before.isNull(), F.concat(F.lit(f"{c} -> "), now)).otherwise(
             F.concat(F.lit(f"{c}: "), before, F.lit(" -> "), F.coalesce(now, F.lit("")))
         )
         return F.when(~first & ~before.eqNullSafe(now), text)
 
-    texts = F.array_compact(F.array(*[change(c) for c in watched]))
-    out = seen.withColumn("changes", F.when(first, F.array(F.lit("first"))).otherwise(texts))
+    texts = [change(c) for c in watched]
+    made = {}
     if columns:
-        before = F.coalesce(F.col(f"__p_{columns}"), F.array().cast(versions.schema[columns].dataType))
-        out = out.withColumns({
-            "added": F.when(~first, F.sort_array(F.array_except(F.col(columns), before))),
-            "removed": F.when(~first, F.sort_array(F.array_except(before, F.col(columns)))),
-        })
+        nothing = F.array().cast(versions.schema[columns].dataType)
+        before, now = F.coalesce(F.col(f"__p_{columns}"), nothing), F.coalesce(F.col(columns), nothing)
+        names = [F.transform(x, lambda f: f["name"]) if typed else x for x in (before, now)]
+        made = {
+            "added": F.when(~first, F.sort_array(F.array_except(names[1], names[0]))),
+            "removed": F.when(~first, F.sort_array(F.array_except(names[0], names[1]))),
+        }
+        if typed:
+            same = (F.size(F.array_except(names[1], names[0])) == 0) & (F.size(F.array_except(names[0], names[1])) == 0)
+            texts.append(F.when(~first & same & (F.size(F.array_except(now, before)) > 0), F.lit(f"{columns}: types changed")))
+    out = seen.withColumns({"changes": F.when(first, F.array(F.lit("first"))).otherwise(F.array_compact(F.array(*texts))), **made})
     return out.drop("__had", "__one", *lag)
 
 
 def merged_schema(physical: DataFrame, declared: DataFrame, product: str = "product_id", column: str = "name") -> DataFrame:
-    """Physical and declared columns in one list; a column only declared is ``pending``.
+    """Physical and declared columns in one list; a column only declared is ``pending`` once the product has a table.
 
     Types and nullability come from the table, the other properties from the manifest.
     """
@@ -183,11 +194,12 @@ def merged_schema(physical: DataFrame, declared: DataFrame, product: str = "prod
     return (
         declared.select(product, column, F.col("type").alias("__dt"), F.col("nullable").alias("__dn"), "pii", "sensitivity", "description")
         .join(p, [product, column], "full")
+        .join(p.select(product, F.lit(True).alias("__table")).distinct(), product, "left")
         .select(
             product, column,
             F.when(F.col("__there"), F.col("__pt")).otherwise(F.coalesce("__dt", F.lit(""))).alias("type"),
             F.when(F.col("__there"), F.col("__pn")).otherwise(F.coalesce("__dn", F.lit(True))).alias("nullable"),
-            F.col("__there").isNull().alias("pending"), F.coalesce("pii", F.lit(False)).alias("pii"), "sensitivity", "description",
+            (F.col("__there").isNull() & F.col("__table").isNotNull()).alias("pending"), F.coalesce("pii", F.lit(False)).alias("pii"), "sensitivity", "description",
         )
     )
 

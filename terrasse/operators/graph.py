@@ -108,31 +108,28 @@ def resolve_hierarchy(
     level: str = "type",
     top: str = "KAPITTEL",
     middle: str = "BLOKK",
+    max_depth: int = 32,
 ) -> DataFrame:
     """Add ``chapter_code`` and ``block_code`` by walking the parent pointers.
 
     A top row names itself; a middle row names its direct parent; every other row finds the
-    nearest middle row on the way and the first top row above it.  The walk of a row stops at a
-    top row, at an unknown parent or when it meets a node again.
+    nearest middle row on the way and the first top row above it.  A walk stops at a top row, at an
+    unknown parent or when it meets a node again; one longer than ``max_depth`` raises.
+
+    Only nodes that are somebody's parent are walked; the codes themselves meet the resolved
+    parents in one join.
     """
-    nodes = codes.select(
-        F.col(identifier).alias("__node"), F.col(level).alias("__level"), F.col(parent).alias("__parent")
-    ).groupBy("__node").agg(F.max(F.struct("__level", "__parent")).alias("__n"))
+    parents = codes.select(F.col(parent).alias("__node")).where(F.col("__node").isNotNull()).distinct()
+    known = codes.select(F.col(identifier).alias("__node"), F.col(level).alias("__level"), F.col(parent).alias("__parent"))
+    nodes = known.join(parents, "__node", "left_semi").groupBy("__node").agg(F.max(F.struct("__level", "__parent")).alias("__n"))
     nodes = durable(nodes.select("__node", "__n.*"), "nodes")
 
-    walk = (
-        codes.filter((~F.col(level).isin(top, middle)) | F.col(level).isNull())
-        .select(
-            F.col(identifier).alias("__start"),
-            F.col(identifier).alias("__at"),
-            F.lit(None).cast("string").alias("__block"),
-            F.lit(None).cast("string").alias("__chapter"),
-            F.array(F.lit(None).cast(codes.schema[identifier].dataType)).alias("__seen"),
-        )
-        .distinct()
+    walk = nodes.select(
+        F.col("__node").alias("__start"), F.col("__node").alias("__at"), F.lit(None).cast("string").alias("__block"),
+        F.array(F.lit(None).cast(codes.schema[identifier].dataType)).alias("__seen"),
     )
     finished = []
-    while True:
+    for _ in range(max_depth):
         met = walk.join(nodes, F.col("__at") == F.col("__node"), "left")
         step = met.select(
             "__start",
@@ -151,11 +148,11 @@ def resolve_hierarchy(
         walk = step.filter("NOT __ended").drop("__ended")
         if walk.isEmpty():
             break
-    found = reduce(DataFrame.unionByName, finished).select(
-        F.col("__start").alias(identifier), F.col("__chapter"), F.col("__block")
-    )
+    else:
+        raise ValueError(f"a code lies more than {max_depth} levels below its top")
+    found = reduce(DataFrame.unionByName, finished).select(F.col("__start").alias("__p"), F.col("__chapter"), F.col("__block"))
     own = F.col(level)
-    return codes.join(found, identifier, "left").select(
+    return codes.join(found, F.col(parent) == F.col("__p"), "left").select(
         *codes.columns,
         F.when(own == top, F.col(identifier).cast("string"))
         .when(own == middle, F.col(parent).cast("string"))

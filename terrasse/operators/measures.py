@@ -53,11 +53,11 @@ def monthly_counts(df: DataFrame, ts: str | Column, keys: Sequence[str] = (), na
     return counts_by(df.withColumn(period, F.date_trunc("month", when)).filter(F.col(period).isNotNull()), [*keys, period], name)
 
 
-def fill_months(monthly: DataFrame, name: str = "n", period: str = "period") -> DataFrame:
-    """Add the empty months between the first and the last one."""
-    span = monthly.agg(F.min(period).alias("a"), F.max(period).alias("b"))
-    months = span.select(F.explode(F.expr("sequence(a, b, interval 1 month)")).alias(period))
-    return months.join(monthly, period, "left").fillna(0, subset=[name])
+def fill_months(monthly: DataFrame, name: str = "n", period: str = "period", keys: Sequence[str] = ()) -> DataFrame:
+    """Add the empty months between the first and the last one, of each key if there are keys."""
+    span = (monthly.groupBy(*keys) if keys else monthly).agg(F.min(period).alias("a"), F.max(period).alias("b"))
+    months = span.select(*keys, F.explode(F.expr("sequence(a, b, interval 1 month)")).alias(period))
+    return months.join(monthly, [*keys, period], "left").fillna(0, subset=[name])
 
 
 def share_of_total(df: DataFrame, value: str, name: str, digits: int = 2, factor: int = 100) -> DataFrame:
@@ -285,16 +285,13 @@ def null_rates(df: DataFrame, digits: int = 4, factor: int = 1) -> DataFrame:
 
 
 def hash_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> DataFrame:
-    """A repeatable sample of at most ``n`` rows: those with the smallest key hash.
+    """A repeatable sample of at most ``n`` rows: those with the smallest key hash, ties by all columns.
 
-    A hash cut at about twice the wanted share comes first, so the final sort sees few rows.
+    Sort and limit are one top-k, so each map task sends at most ``n`` rows.
     """
-    total = df.count()
-    h = F.xxhash64(F.lit(seed), *keys)
-    if total > 2 * n + 1000:
-        share = (2 * n + 1000) / total
-        df = df.filter(h < int(-(2**63) + share * 2**64))
-    return df.withColumn("__h", h).orderBy("__h", *keys).limit(n).drop("__h")
+    h = F.md5(F.concat_ws("|", F.lit(seed).cast("string"), *[F.col(k).cast("string") for k in keys]))
+    rest = [c for c in df.columns if c not in keys]
+    return df.withColumn("__h", h).orderBy("__h", *keys, *rest).limit(n).drop("__h")
 
 
 def partition_sizes(df: DataFrame) -> DataFrame:

@@ -10,13 +10,14 @@ from pyspark.sql import types as T
 
 from terrasse.functions.scalars import pii_hint, shorten
 from terrasse.operators.keys import top_n_per_key
-from terrasse.operators.measures import BINS, density_2d, hash_sample, histogram, top_k
+from terrasse.operators.measures import BINS, density_2d, histogram, top_k
 from terrasse.settings import durable
 
-# Sizes of previews and samples, and limits of the chart rules.
-PREVIEW_ROWS, SAMPLE_ROWS, SAMPLE_VALUES = 100, 20, 4
-CATEGORICAL_MAX, DATE_SHARE, DATE_ROWS = 20, 0.8, 50
-SCATTER_MAX_ROWS, CHART_MAX_ROWS = 5_000, 100_000
+# Sizes of previews and samples, and limits of the role rules.
+PREVIEW_ROWS, SAMPLE_VALUES = 100, 4
+CATEGORICAL_MAX, DATE_SHARE = 20, 0.8
+
+SAMPLE_BUCKETS = 8
 
 
 def preview(df: DataFrame, columns: Sequence[str], order_by: Sequence[str], n: int = PREVIEW_ROWS) -> DataFrame:
@@ -30,23 +31,21 @@ def column_types(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "name string, type string, nullable boolean, comment string")
 
 
-def table_profile(df: DataFrame, order_by: Sequence[str], digits: int = 3) -> DataFrame:
-    """(name, type, null_rate, sample_values, pii_hint) per column.
+def table_profile(df: DataFrame, digits: int = 3) -> DataFrame:
+    """(name, type, null_rate, sample_values, pii_hint) per column, from one aggregate of the whole table.
 
-    NULL rates cover the whole table.  Samples come from a preview of fixed size: up to four
-    distinct values among the first twenty non-NULL ones, masked when the name hints at
-    personal data.
+    The distinct values of a column fall into ``SAMPLE_BUCKETS`` by their MD5; the smallest value of each
+    bucket is a sample, up to four are shown, masked when the name hints at personal data.
     """
-    rates = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(f"r{i}") for i, c in enumerate(df.columns)])
-    head = df.orderBy(*order_by).limit(PREVIEW_ROWS)
-    ordered = F.struct(*[F.col(c).cast("string").alias(f"v{i}") for i, c in enumerate(df.columns)])
-    # At most PREVIEW_ROWS rows reach this list.
-    listed = head.agg(F.sort_array(F.collect_list(F.struct(*order_by, ordered.alias("__v")))).alias("rows"))
-    both = rates.withColumn("rows", listed.scalar())
+    text = [F.col(c).cast("string") for c in df.columns]
+    bucket = [F.ascii(F.md5(t)) % SAMPLE_BUCKETS for t in text]
+    wide = df.agg(
+        *[F.avg(F.col(c).isNull().cast("double")).alias(f"r{i}") for i, c in enumerate(df.columns)],
+        *[F.min(F.when(bucket[i] == k, t)).alias(f"s{i}_{k}") for i, t in enumerate(text) for k in range(SAMPLE_BUCKETS)],
+    )
 
     def entry(i: int, f: T.StructField) -> Column:
-        values = F.filter(F.transform("rows", lambda r: r["__v"][f"v{i}"]), lambda v: v.isNotNull())
-        few = F.slice(F.array_distinct(F.slice(values, 1, SAMPLE_ROWS)), 1, SAMPLE_VALUES)
+        few = F.slice(F.array_sort(F.array_compact(F.array(*[f"s{i}_{k}" for k in range(SAMPLE_BUCKETS)]))), 1, SAMPLE_VALUES)
         hint = pii_hint(F.lit(f.name))
         shown = F.when(hint, F.transform(few, lambda v: F.lit("***"))).otherwise(F.transform(few, lambda v: shorten(v)))
         return F.struct(
@@ -54,7 +53,7 @@ def table_profile(df: DataFrame, order_by: Sequence[str], digits: int = 3) -> Da
             F.round(F.col(f"r{i}"), digits).alias("null_rate"), shown.alias("sample_values"), hint.alias("pii_hint"),
         )
 
-    return both.select(F.inline(F.array(*[entry(i, f) for i, f in enumerate(df.schema.fields)])))
+    return wide.select(F.inline(F.array(*[entry(i, f) for i, f in enumerate(df.schema.fields)])))
 
 
 def payload_profile(df: DataFrame, column: str, digits: int = 3) -> DataFrame:
@@ -96,54 +95,37 @@ def payload_samples(df: DataFrame, column: str, n: int = SAMPLE_VALUES) -> DataF
     return few.withColumn("value", F.when(pii_hint(F.col("name")), "***").otherwise(F.col("value"))).distinct()
 
 
-def column_roles(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+def column_roles(df: DataFrame) -> DataFrame:
     """(name, role): date, numeric, categorical or other.
 
-    Text is a date when at least 80 % of its first fifty non-NULL values parse, categorical
-    with at most twenty distinct values.
+    Text is a date when at least 80 % of its non-NULL values parse, categorical with at most
+    twenty distinct values.  Both are counted exactly over all rows.
     """
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     dates = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))]
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    others = [f.name for f in df.schema.fields if f.name not in {*numeric, *dates, *texts} and not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    others = [f.name for f in df.schema.fields if f.name not in {*numeric, *dates, *texts} and not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))]
     countable = [*texts, *others]
-    # The sketch only rules out columns far above the limit; the rest has few values, which are
-    # counted exactly and combine well before their shuffle.
-    few_values: list[str] = []
-    if countable:
-        rough = df.agg(*[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(countable)]).first()
-        few_values = [c for i, c in enumerate(countable) if rough[i] <= 2 * CATEGORICAL_MAX]
-    if few_values:
-        measured = df.agg(*[F.count_distinct(c).alias(f"d{i}") for i, c in enumerate(few_values)])
-    else:
-        measured = df.sparkSession.range(1)
+    counted = [F.count_distinct(c).alias(f"d{i}") for i, c in enumerate(countable)]
+    shares = [F.try_divide(F.count_if(F.try_to_timestamp(c).isNotNull()), F.count(c)).alias(f"t{i}") for i, c in enumerate(texts)]
+    measured = df.agg(*counted, *shares) if countable else df.sparkSession.range(1)
 
     roles = {c: F.lit("numeric") for c in numeric} | {c: F.lit("date") for c in dates}
-    for c in countable:
-        role = F.lit("other")
-        if c in few_values:
-            role = F.when(F.col(f"d{few_values.index(c)}") <= CATEGORICAL_MAX, "categorical").otherwise("other")
-        if c in texts:
-            head = df.select(c, *order_by).filter(F.col(c).isNotNull())
-            head = (head.orderBy(*order_by) if order_by else head).limit(DATE_ROWS)
-            share = F.coalesce(head.agg(F.avg(F.try_to_timestamp(c).isNotNull().cast("double"))).scalar(), F.lit(0.0))
-            role = F.when(share >= DATE_SHARE, "date").otherwise(role)
-        roles[c] = role
+    for i, c in enumerate(countable):
+        role = F.when(F.col(f"d{i}") <= CATEGORICAL_MAX, "categorical").otherwise("other")
+        roles[c] = F.when(F.col(f"t{i}") >= DATE_SHARE, "date").otherwise(role) if i < len(texts) else role
     rows = [F.struct(F.lit(c).alias("name"), roles.get(c, F.lit("other")).alias("role")) for c in df.columns]
     return measured.select(F.inline(F.array(*rows)))
 
 
-def chart_data(df: DataFrame, order_by: Sequence[str]) -> tuple[str, DataFrame] | None:
-    """Kind of chart that fits the columns, with its data: line, bar, scatter, density or histogram.
+def chart_data(df: DataFrame, points: bool = False) -> tuple[str, DataFrame] | None:
+    """Kind of chart that fits the columns, with its data over all rows: line, bar, scatter, density or histogram.
 
-    Large frames are reduced by a repeatable sample first.
+    Two numeric columns give a density of fixed size, or every point with ``points``.
     """
-    n = df.count()
-    if n == 0:
+    if df.isEmpty():
         return None
-    if n > CHART_MAX_ROWS:
-        df = hash_sample(df, order_by, CHART_MAX_ROWS)
-    found = {r["name"]: r["role"] for r in column_roles(df, order_by).collect()}  # one row per column
+    found = {r["name"]: r["role"] for r in column_roles(df).collect()}  # one row per column
     by_role = {role: [c for c in df.columns if found[c] == role] for role in ("date", "numeric", "categorical")}
     dates, numbers, groups = by_role["date"], by_role["numeric"], by_role["categorical"]
     if dates and numbers:
@@ -155,7 +137,7 @@ def chart_data(df: DataFrame, order_by: Sequence[str]) -> tuple[str, DataFrame]
         return "bar", top_k(sums, [F.col(numbers[0]).desc(), F.col(groups[0]).asc()], CATEGORICAL_MAX)
     if len(numbers) >= 2:
         x, y = numbers[:2]
-        if n <= SCATTER_MAX_ROWS:
+        if points:
             return "scatter", df.select(x, y)
         return "density", density_2d(df, x, y, BINS)
     if numbers:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from terrasse.functions.scalars import days_before, hours_between
 from terrasse.operators.keys import first_per_key
 from terrasse.operators.measures import top_k
-from terrasse.operators.ordered import over_order, trailing_stats
+from terrasse.operators.ordered import trailing_stats
 
 # Actions, sentinel product, statuses and limits of the usage log.
 PLATFORM_PRODUCT = "__platform__"
@@ -113,9 +113,11 @@ def trending(usage: DataFrame, as_of: Column, days: int = 7, k: int | None = 5,
 def recent_publications(versions: DataFrame, as_of: Column, days: int = 14, k: int | None = 20,
                         product: str = "product_id", at: str = "registered_at", tie: Sequence[str] = ()) -> DataFrame:
     """Versions published lately; the first version ever of a product is ``new``."""
-    numbered = over_order(versions, [product], [at, *tie], lag={"__prev": at})
-    labelled = numbered.withColumn("event", F.when(F.col("__prev").isNull(), "new").otherwise("version_bump")).drop("__prev")
-    recent = labelled.filter(F.col(at) >= days_before(as_of, days))
+    first = versions.groupBy(F.col(product).alias("__product")).agg(F.min(F.struct(at, *tie)).alias("__first"))
+    recent = versions.filter(F.col(at) >= days_before(as_of, days))
+    recent = recent.join(first, F.col(product).eqNullSafe(F.col("__product")))
+    is_first = F.struct(at, *tie).eqNullSafe(F.col("__first"))
+    recent = recent.withColumn("event", F.when(is_first, "new").otherwise("version_bump")).drop("__product", "__first")
     return top_k(recent, [F.col(at).desc(), F.col(product).asc(), *[F.col(t).desc() for t in tie]], k) if k else recent
 
 

@@ -105,8 +105,11 @@ def _date(column: str) -> Column:
     return F.to_date(F.try_to_timestamp(F.col(column)))
 
 
-def family_relations(family_events: DataFrame, max_generations: int = MAX_GENERATIONS, divorce_match: str = "all") -> DataFrame:
-    """Marriages, divorces and ancestor relations as one directed edge list."""
+def family_relations(family_events: DataFrame, max_generations: int = MAX_GENERATIONS, divorce_match: str = "first_after") -> DataFrame:
+    """Marriages, divorces and ancestor relations as one directed edge list.
+
+    A marriage ends with the first divorce after it; ``divorce_match="all"`` lists it once per divorce of the pair.
+    """
     family = family_fields(family_events)
     open_end, no_depth = F.lit(None).cast("timestamp"), F.lit(None).cast("int")
 

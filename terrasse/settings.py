@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -26,7 +25,8 @@ SESSION_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
-_local_dirs: dict[str, str] = {}
+# Shared folder of a running session whose cluster named none; may be set at any time.
+SHARED_DIR = "spark.terrasse.sharedDir"
 
 
 def build_session(app_name: str = "terrasse", master: str | None = None, **extra: str) -> SparkSession:
@@ -44,21 +44,11 @@ def limit_of(spark: SparkSession, setting: tuple[str, int]) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, named by the cluster in ``spark.checkpoint.dir``.
-
-    Only a ``local`` session, where driver and executors share one disk, may fall back to a
-    temporary folder.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = context.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="terrasse-")
-    return _local_dirs[app]
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or where that is unset ``spark.terrasse.sharedDir``."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SHARED_DIR, None)
+    if not named:
+        raise RuntimeError(f"set spark.checkpoint.dir or {SHARED_DIR} to a folder all executors share")
+    return named.rstrip("/")
 
 
 def _stage_root(spark: SparkSession) -> str:

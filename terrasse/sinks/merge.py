@@ -40,12 +40,22 @@ def latest_changes(changes: DataFrame, keys: Sequence[str], order: Sequence[str]
     return latest_per_key(changes, keys, order)
 
 
+def refuse_repeated_keys(df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if two rows have one key; rows with a NULL in the key match nothing and may repeat."""
+    if not df.dropna(subset=list(keys)).groupBy(*keys).count().filter("count > 1").isEmpty():
+        raise ValueError(f"several rows for one key ({', '.join(keys)}); reduce them first, for example with latest_changes")
+
+
 def upsert_table(incoming: DataFrame, table: str, keys: Sequence[str]) -> int:
-    """Upsert into a snapshot table, creating it when missing; returns the version."""
+    """Upsert into a snapshot table, creating it when missing; returns the version.
+
+    Repeated keys in ``incoming`` are refused.
+    """
     spark = incoming.sparkSession
+    incoming = durable(incoming, "incoming")  # checked, and used on both sides of the merge
+    refuse_repeated_keys(incoming, keys)
     if not snapshots.exists(spark, table):
         return snapshots.commit(incoming, table, "create")
-    incoming = durable(incoming, "incoming")  # used on both sides of the merge
     return snapshots.commit(upsert(snapshots.read_version(spark, table), incoming, keys), table, "upsert")
 
 

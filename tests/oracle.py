@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -56,7 +57,7 @@ def main() -> int:
     names = sys.argv[2:] or list(QUERIES)
     spark = build_session("oracle", "local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false",
-        "spark.terrasse.runRows": os.environ.get("RUN_ROWS", "4000000"),
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="oracle-"), "spark.terrasse.runRows": os.environ.get("RUN_ROWS", "4000000"),
     })
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(sf), 0

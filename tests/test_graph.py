@@ -104,3 +104,10 @@ def test_lineage(spark):
         ("bronze", "silver", "downstream", 1), ("gold", "bronze", "upstream", 2), ("gold", "ref", "upstream", 1), ("gold", "silver", "upstream", 1),
         ("ref", "gold", "downstream", 1), ("silver", "bronze", "upstream", 1), ("silver", "gold", "downstream", 1),
     ]
+
+
+def test_hierarchy_raises_beyond_its_depth(spark):
+    codes = spark.createDataFrame([("c", None, "KAPITTEL"), *[(f"n{i}", "c" if i == 0 else f"n{i - 1}", "KATEGORI") for i in range(6)]], "identifier string, parent string, type string")
+    with pytest.raises(ValueError):
+        graph.resolve_hierarchy(codes, max_depth=4)
+    assert {r.chapter_code for r in graph.resolve_hierarchy(codes).collect()} == {"c"}

@@ -103,6 +103,8 @@ def test_hash_sample_repeats_and_bounds(spark):
     assert len(first) == 100 and first == rows(measures.hash_sample(df.repartition(7), ["id"], 100))
     assert measures.hash_sample(spark.range(5), ["id"], 100).count() == 5
     assert first != rows(measures.hash_sample(df, ["id"], 100, seed=7))
+    repeated = spark.range(300_000).selectExpr("id % 3 as k", "id")
+    assert measures.hash_sample(repeated, ["k"], 1000).count() == 1000
 
 
 def test_net_aligned_modes(spark):

@@ -138,6 +138,8 @@ def test_snapshot_table_life(spark, tmp_path):
         snapshots.read_version(spark, table)
     first = spark.createDataFrame([(1, 10), (2, 20)], "id int, v int")
     assert merge.upsert_table(first, table, ["id"]) == 0
+    with pytest.raises(ValueError):
+        merge.upsert_table(spark.createDataFrame([(1, 1), (1, 2)], "id int, v int"), table, ["id"])
     assert merge.upsert_table(spark.createDataFrame([(2, 21), (3, 30)], "id int, v int"), table, ["id"]) == 1
     assert merge.update_table(spark, table, F.col("id") == 1, {"v": F.col("v") * 2}) == 2
     assert merge.sync_table(spark.createDataFrame([(3, 31)], "id int, v int"), table, ["id"]) == 3
