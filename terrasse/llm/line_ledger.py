@@ -300,7 +300,8 @@ class LineLedger:
             pairs = held.select("doc_id", F.explode("keys").alias("key"))
         pairs = durable(pairs, "repeated-lines")
         often = self.counts().where(F.col("n_docs") >= self.min_docs).select("key")
-        last = durable(pairs.join(often, "key").groupBy("key").agg(F.max("doc_id").alias("last")), "last-holders")
+        holders = pairs.groupBy("key").agg(F.max("doc_id").alias("last"))  # combined on the map side, a line in very many documents too
+        last = durable(holders.join(often, "key"), "last-holders")
         return pairs.join(last, "key").where("doc_id <> last").groupBy("doc_id").agg(F.collect_set("key").alias("drop"))
 
     def clean(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
