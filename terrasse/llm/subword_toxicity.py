@@ -28,6 +28,7 @@ SAMPLE, EPOCHS, BATCH, RATE, SPARSITY, SEED = 8_000, 6, 64, 0.02, 1.5, 7
 PAD = 20  # neutral words in every average, so that the few words of a short text do not weigh too much
 SEEN = 0.02  # share of the training documents that must hold a part before it gets a vector
 TUNED_ON = 5  # every fifth training document sets the point where the score passes 0.5 and nothing else
+SLICE_BYTES = 1 << 20  # the parts of the words of a slice take some hundred bytes for each byte of text
 GAIN = 64.0  # texts are averages of many words; the softmax reads this multiple of them
 
 
@@ -178,7 +179,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
 
     def holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(BUCKETS, np.int64)
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE_BYTES):
             for bucket, _ in bags(part.column("text")):
                 seen[bucket] += 1
         held = np.flatnonzero(seen)
@@ -190,7 +191,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
     wanted = spark.sparkContext.broadcast(wanted)
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE_BYTES):
             kept = [(b[wanted.value[b]], w[wanted.value[b]]) for b, w in bags(part.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [part.column("place"), part.column("doc_id"), part.column("label"), pa.array([b.astype("<i4").tobytes() for b, _ in kept], pa.binary()),
@@ -212,7 +213,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bias = known.value
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE_BYTES):
             words = split_words(part.column("text"))
             parts, first = word_parts(words.vocab)
             value, count = table[parts], np.diff(first)
