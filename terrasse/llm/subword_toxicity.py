@@ -60,9 +60,7 @@ def bags(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         ids, n = np.unique(words.ids[a:b], return_counts=True)
         count = per[ids]
         bucket = parts[np.repeat(first[ids], count) + runs_of(count)]
-        share = np.repeat(n / (2 * np.maximum(count - 1, 1)), count)  # the n-grams of a word together weigh as much as the word
-        share[np.cumsum(count) - count] = n / 2
-        weight = share / (b - a + PAD)
+        weight = np.repeat(n / np.maximum(count, 1), count) / (b - a + PAD)
         kept, place = np.unique(bucket, return_inverse=True)
         yield kept, np.bincount(place, weight, minlength=len(kept))
 
@@ -217,9 +215,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
             words = split_words(part.column("text"))
             parts, first = word_parts(words.vocab)
             value, count = table[parts], np.diff(first)
-            total = np.concatenate(([0.0], np.cumsum(value)))
-            own = value[first[:-1]]
-            word = (own + (total[first[1:]] - total[first[:-1]] - own) / np.maximum(count - 1, 1)) / 2
+            word = np.add.reduceat(value, first[:-1]) / count if len(value) else value
             odds = np.bincount(words.row, word[words.ids], minlength=part.num_rows) / (words.counts + PAD) + bias
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(odds, -500, 500))))], names=["doc_id", "score"])
 

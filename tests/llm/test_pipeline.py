@@ -20,7 +20,7 @@ def folder(spark, tmp_path_factory):
 def test_stages_against_brute_force(spark, folder):
     shared = "This boilerplate line stands in every one of the documents."
     body = [(i, prose(100 + i, 80) + "\n" + shared) for i in range(8)]
-    docs = body + [(20, body[0][1]), (21, prose(60, 200) + " " + prose(70, 30)), (22, "bad### junk$$$ " * 60), (23, None), (24, "too short")]
+    docs = body + [(20, body[0][1]), (21, prose(60, 200) + " " + prose(70, 30)), (22, "bad### junk$$$ " * 60), (23, None), (24, "too short"), (26, prose(200, 90)), (27, prose(200, 90))]
     frame = rows_to_docs(spark, docs)
     good = cp.quality(spark, frame, folder)
     assert {r["doc_id"] for r in good.collect()} == {i for i, t in docs if words_brute(t)[0] >= 50 and i != 22}
