@@ -143,6 +143,7 @@ class Stream:
     def __init__(self, pieces: Pieces, start: bool = True):
         self.p = pieces
         self.end = self.base = 0
+        self.check = pieces.reach  # where convergence is looked for next
         self.best = {0: 0}
         self.back: dict[int, tuple[int, int]] = {}  # boundary -> (boundary before, id or -1 - code point)
         self.alive: list[tuple[int, int]] = []  # (start, trie state) of pieces that may still grow
@@ -153,7 +154,6 @@ class Stream:
         if self.start:
             text, self.start = " " + text, False
         p, step, piece, width, scores = self.p, self.p.step, self.p.piece, self.p.width, self.p.scores
-        check = self.end + p.reach
         for c in text:
             code = ord(c)
             kind = int(p.classes[code])
@@ -176,9 +176,9 @@ class Stream:
             self.best[end], self.back[end], self.alive, self.end = top, link, alive, end
             if not alive:
                 yield from self._commit(end)
-            elif end >= check:
+            elif end >= self.check:
+                self.check = end + p.reach
                 yield from self._converge()
-                check = end + p.reach
 
     def finish(self) -> Iterator[int]:
         yield from self._commit(self.end)
