@@ -12,12 +12,8 @@ SCHEDULE_HOURS = {"@hourly": 2, "@daily": 25, "@weekly": 192, "@monthly": 768}
 LAYERS = ("raw", "bronze", "silver", "gold", "analytics")
 DEFAULT_LAYER = "gold"
 
-# Column names that hint at personal data.
-PII_NAMES = (
-    "fnr", "ssn", "email", "phone", "address", "tlf", "navn", "name", "first_?name", "last_?name",
-    "full_?name", "birthdate", "dob", "personnummer",
-)
-PII_PATTERN = "(?i)^(" + "|".join(PII_NAMES) + ")$"
+# Pattern of column names that hint at personal data.
+PII_PATTERN = "(?i)^(fnr|ssn|email|phone|address|tlf|navn|name|first_?name|last_?name|full_?name|birthdate|dob|personnummer)$"
 
 
 def hours_between(earlier: Column, later: Column) -> Column:

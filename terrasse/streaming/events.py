@@ -32,8 +32,6 @@ def broker_stream(spark: SparkSession, servers: str, topics: Sequence[str], grou
         .option("startingOffsets", starting)
         .option("kafka.group.id", group)
         .option("failOnDataLoss", "false")
-        .option("kafka.session.timeout.ms", "30000")
-        .option("kafka.request.timeout.ms", "40000")
     )
     for key, value in options.items():
         reader = reader.option(key, value)
@@ -45,6 +43,7 @@ def unpack_envelopes(messages: DataFrame) -> DataFrame:
 
     A message that is no envelope keeps its raw value and offsets, with NULL envelope fields.
     """
+    # Output columns of a bronze event row.
     opened = messages.withColumn("env", F.from_json(F.col("value").cast("string"), S.CLOUD_EVENT))
     return opened.select(
         F.col("topic").alias("kafka_topic"), F.col("partition").alias("kafka_partition"),
