@@ -11,10 +11,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_RN = "__rn"
+_RN, _BUCKET = "__rn", "__bucket"
+BUCKETS = 32  # groups of map tasks in a pick of many rows per key
 
 
-def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
+def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, buckets: int = 1) -> DataFrame:
+    """First ``n`` rows per key.
+
+    With ``buckets`` the map tasks of a key are picked from in that many groups first, so that the last
+    pick of a hot key meets ``buckets * n`` rows however many map tasks there are.
+    """
+    if buckets > 1:
+        group = F.pmod(F.spark_partition_id(), F.lit(buckets))
+        return _first_n(_first_n(df.withColumn(_BUCKET, group), [*keys, _BUCKET], order, n).drop(_BUCKET), keys, order, n)
+    return _first_n(df, keys, order, n)
+
+
+def _first_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) <= n).drop(_RN)
 
@@ -50,7 +63,7 @@ def drop_duplicate_events(df: DataFrame, id_column: str = "event_id", order_by:
 
 def keep_last_n(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], n: int = 168) -> DataFrame:
     """The newest ``n`` history entries per key."""
-    return top_n_per_key(df, keys, [F.col(c).desc() for c in order_by], n)
+    return top_n_per_key(df, keys, [F.col(c).desc() for c in order_by], n, BUCKETS)
 
 
 def insert_if_absent(new: DataFrame, existing: DataFrame, on: Sequence[str]) -> DataFrame:

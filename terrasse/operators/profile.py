@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrasse.functions.scalars import pii_hint, shorten
-from terrasse.operators.keys import top_n_per_key
+from terrasse.operators.keys import BUCKETS, top_n_per_key
 from terrasse.operators.measures import BINS, density_2d, histogram, top_k
 from terrasse.settings import durable
 
@@ -91,7 +91,7 @@ def payload_samples(df: DataFrame, column: str, n: int = SAMPLE_VALUES) -> DataF
     entries = df.select(F.explode(F.from_json(column, "map<string,string>")).alias("name", "value")).filter(
         F.col("value").isNotNull()
     )
-    few = top_n_per_key(entries.distinct(), ["name"], [F.col("value").asc()], n)
+    few = top_n_per_key(entries.distinct(), ["name"], [F.col("value").asc()], n, BUCKETS)
     return few.withColumn("value", F.when(pii_hint(F.col("name")), "***").otherwise(F.col("value"))).distinct()
 
 
