@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrasse.llm import line_ledger, piece_codec, quality_ledger, simhash, string_tiling
+from terrasse.llm import line_ledger, near_copies, piece_codec, quality_ledger, string_tiling
 from terrasse.llm.viterbi import Pieces
 from terrasse.settings import durable, fresh_path
 
@@ -36,8 +36,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return simhash.drop_near_duplicates(docs)
+    """One document of each group of near copies: five-word shingles, Jaccard similarity of 0.8 or more."""
+    return near_copies.drop_near_copies(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
