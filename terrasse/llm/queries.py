@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrasse.llm import block_anchors, line_ledger, merkle_fixity, piece_codec, quality_ledger, sampled_splitters, separator_scan, simhash, string_tiling, subword_toxicity
+from terrasse.llm import block_anchors, line_ledger, merkle_fixity, merkle_manifest, piece_codec, quality_ledger, sampled_splitters, separator_scan, simhash, string_tiling, subword_toxicity
 from terrasse.llm.viterbi import Pieces
 from terrasse.settings import fresh_path
 
@@ -177,3 +177,57 @@ def op9_line_ledger(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op10_string_tiling(spark: SparkSession, sf: str) -> DataFrame:
     return string_tiling.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ["doc_id", "source", "lang", "n_chars", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen(CAST({f} AS VARCHAR)) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+# A checksum bit by bit: each byte of the decimal id is followed by seven zeros, and every step shifts one bit out.
+_CRC_SQL = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+  lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), lambda a, x: xor(xor(a, x) >> 1, (xor(a, x) & 1) * 3988292384)), 4294967295)"""
+
+MANIFEST_SQL = f"""WITH RECURSIVE base AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || lang, '') AS k, {_leaf_sql('text')} AS leaf,
+         CASE WHEN {_CRC_SQL} % 3 = 0 THEN {_leaf_sql(f"translate(text, '{UPPER}', '{LOWER}')")} END AS suspect
+  FROM documents),
+leaf AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS p FROM base),
+tree(k, level, p, h, n) AS (
+  SELECT k, 0, p, leaf, count(*) OVER (PARTITION BY k) FROM leaf
+  UNION ALL
+  SELECT k, level + 1, p // 8, sha256(string_agg(h, '' ORDER BY p)), (max(n) + 7) // 8 FROM tree WHERE n > 1 GROUP BY k, level + 1, p // 8),
+subroot AS (SELECT k, h, row_number() OVER (ORDER BY k) - 1 AS p FROM tree WHERE n = 1),
+top(level, p, h, n) AS (
+  SELECT 0, p, h, count(*) OVER () FROM subroot
+  UNION ALL
+  SELECT level + 1, p // 8, sha256(string_agg(h, '' ORDER BY p)), (max(n) + 7) // 8 FROM top WHERE n > 1 GROUP BY level + 1, p // 8),
+sibling AS (
+  SELECT rid, t.level AS step, t.h, t.p, l.p // (1 << (3 * t.level)) AS mine
+  FROM leaf l JOIN tree t ON t.k = l.k AND t.n > 1 AND t.p // 8 = l.p // (1 << (3 * t.level + 3))
+  UNION ALL
+  SELECT rid, 1000 + t.level, t.h, t.p, s.p // (1 << (3 * t.level))
+  FROM leaf l JOIN subroot s ON s.k = l.k JOIN top t ON t.n > 1 AND t.p // 8 = s.p // (1 << (3 * t.level + 3))),
+segment AS (
+  SELECT rid, row_number() OVER (PARTITION BY rid ORDER BY step) AS i, lo, hi
+  FROM (SELECT rid, step, coalesce(string_agg(h, '' ORDER BY p) FILTER (p < mine), '') AS lo,
+               coalesce(string_agg(h, '' ORDER BY p) FILTER (p > mine), '') AS hi FROM sibling GROUP BY rid, step)),
+proof AS (SELECT rid, string_agg(lo || hi, '' ORDER BY i) AS t, count(*) AS n FROM segment GROUP BY rid),
+folded(rid, i, h) AS (
+  SELECT rid, 0, coalesce(suspect, leaf) FROM leaf
+  UNION ALL
+  SELECT f.rid, f.i + 1, sha256(s.lo || f.h || s.hi) FROM folded f JOIN segment s ON s.rid = f.rid AND s.i = f.i + 1)
+SELECT l.doc_id, l.leaf, s.h AS subroot, r.h AS root, sha256(coalesce(q.t, '')) AS proof_sha256, f.h AS folded_root, f.h = r.h AS verified
+FROM leaf l JOIN subroot s ON s.k = l.k JOIN top r ON r.n = 1 LEFT JOIN proof q ON q.rid = l.rid
+JOIN folded f ON f.rid = l.rid AND f.i = coalesce(q.n, 0)"""
+
+
+@query(MANIFEST_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document against the manifest; a third of the texts were lower-cased since."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    rows = merkle_manifest.manifest(table(spark, sf, "documents"), F.when(tampered, F.translate("text", UPPER, LOWER)))
+    return merkle_manifest.verified(rows).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
