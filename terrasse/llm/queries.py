@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrasse.llm import block_anchors, chat_format, line_ledger, merkle_fixity, merkle_manifest, piece_codec, quality_ledger, sampled_splitters, separator_scan, simhash, string_tiling, subword_toxicity
+from terrasse.llm import block_anchors, chat_format, line_ledger, merkle_fixity, merkle_manifest, piece_codec, quality_ledger, sampled_splitters, separator_scan, simhash, string_tiling, subword_toxicity, token_alignment
 from terrasse.llm.viterbi import Pieces
 from terrasse.settings import fresh_path
 
@@ -214,6 +214,12 @@ def op11_chat_format(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2("learned", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"), "verdict", "bad_turn")
 
 
+@query()
+def op12_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    rows = token_alignment.alignments(table(spark, sf, "documents"), token_alignment.TokenizerPair.load(), groups="digest")
+    return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
