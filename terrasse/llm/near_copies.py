@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from terrasse.llm.components import connected
 from terrasse.llm.simhash import forest, shingle_hashes
 from terrasse.llm.words import mix, runs_of, slices
-from terrasse.settings import durable, durable_counted
+from terrasse.settings import BROADCAST_ROWS, durable, durable_counted, limit_of
 
 SHINGLE, NUM, DEN = 5, 4, 5  # similarity NUM / DEN
 WORDS, FIRST, RADIUS = 4, 22, 64  # 64-bit words of a fingerprint; bits that may differ in the first, in all
@@ -180,9 +180,14 @@ def verified_links(docs: DataFrame, found: DataFrame) -> DataFrame:
     held = F.sum(F.length("shingles")) / 8
     wanted = F.least(F.lit(CHUNKS), F.ceil(F.greatest(F.count(F.lit(1)) / CHUNK_ROWS, held / CHUNK_SHINGLES)))
     sizes = members.groupBy("root").agg(F.greatest(F.lit(1), wanted, F.ceil(held / MOST_SHINGLES)).cast("int").alias("chunks"))
+    # Only components of several chunks are looked up, and not by a shuffle that would deal a whole one to one task.
+    large, n_large = durable_counted(sizes.where("chunks > 1"), "near-sizes")
+    if n_large <= limit_of(docs.sparkSession, BROADCAST_ROWS):
+        large = F.broadcast(large)
+    members = members.join(large, "root", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     place = F.expr("cast(pmod(xxhash64(id, d0, d1), chunks) as int)")
     chunks = durable(
-        members.join(sizes, "root").groupBy("root", "chunks", place.alias("chunk")).agg(F.collect_list(F.struct("id", "shingles")).alias("rows"))
+        members.groupBy("root", "chunks", place.alias("chunk")).agg(F.collect_list(F.struct("id", "shingles")).alias("rows"))
         .select("root", "chunks", "chunk", F.col("rows.id").alias("ids"), F.col("rows.shingles").alias("shingles")), "near-chunks")
     lone = chunks.where("chunks = 1").select("ids", "shingles", F.lit(None).cast("array<bigint>").alias("ids2"), F.lit(None).cast("array<binary>").alias("shingles2"))
     left = chunks.where("chunks > 1").select("root", F.col("ids").alias("ids"), F.col("shingles"), F.col("chunk").alias("own"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
