@@ -28,14 +28,14 @@ def upsert_table(spark, sf):
     changed = rows.filter("c_mktsegment = 'BUILDING'").withColumn("c_acctbal", F.col("c_acctbal") + 100)
     added = rows.filter("c_mktsegment = 'MACHINERY'").withColumn("c_custkey", -F.col("c_custkey") - 1)
     for batch in (rows, changed.unionByName(added), changed.unionByName(added)):  # the second run of a batch changes nothing
-        merge.upsert_table(batch, path, ["c_custkey"])
+        merge.upsert_table(batch, path, ["c_custkey"], buckets=8)
     return snapshots.read_version(spark, path).withColumn("c_acctbal", F.round("c_acctbal", 2))
 
 
 @query("SELECT c_custkey, c_acctbal, c_mktsegment AS note FROM customer WHERE c_acctbal >= 0")
 def sync_table(spark, sf):
     path, rows = fresh_path(spark, "synced"), _accounts(spark, sf)
-    merge.sync_table(rows.select("c_custkey", F.lit(0.0).alias("c_acctbal"), F.col("c_mktsegment").alias("note")), path, ["c_custkey"])
+    merge.sync_table(rows.select("c_custkey", F.lit(0.0).alias("c_acctbal"), F.col("c_mktsegment").alias("note")), path, ["c_custkey"], buckets=8)
     for _ in range(2):
         merge.sync_table(rows.filter("c_acctbal >= 0").select("c_custkey", "c_acctbal"), path, ["c_custkey"])
     return snapshots.read_version(spark, path)
@@ -53,19 +53,31 @@ def update_table(spark, sf):
 def retention_table(spark, sf):
     path = fresh_path(spark, "retained")
     text = F.when(F.col("event_type") == "error", "unknown").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-    snapshots.commit(table(spark, sf, "events").select("event_id", "event_type", text.alias("at")), path, "create")
+    snapshots.commit(table(spark, sf, "events").select("event_id", "event_type", text.alias("at")), path, "create", layout=snapshots.Layout(("at",)))
     for _ in range(2):
         merge.apply_retention(spark, path, "at", 14, as_of())
     return snapshots.read_version(spark, path).drop("at")
 
 
-@query("""SELECT 'create' AS operation, CAST(0 AS BIGINT) AS version, count(*) AS rows FROM customer
-    UNION ALL SELECT 'upsert', 1, count(*) FROM customer""")
+@query("""WITH n AS (
+      SELECT count(*) AS all_rows, count(*) FILTER (c_mktsegment = 'BUILDING') AS changed, count(*) FILTER (c_mktsegment = 'MACHINERY') AS added,
+             count(*) FILTER (c_acctbal >= 0) AS kept, count(*) FILTER (c_acctbal >= 0 AND c_mktsegment = 'BUILDING') AS restored,
+             count(*) FILTER (c_acctbal >= 0 AND c_mktsegment = 'MACHINERY') AS raised FROM customer)
+    SELECT 'create' AS operation, CAST(0 AS BIGINT) AS version, all_rows AS rows, all_rows AS inserted, CAST(0 AS BIGINT) AS updated, CAST(0 AS BIGINT) AS deleted FROM n
+    UNION ALL SELECT 'upsert', 1, all_rows + added, added, changed, 0 FROM n
+    UNION ALL SELECT 'upsert', 2, all_rows + added, 0, 0, 0 FROM n
+    UNION ALL SELECT 'sync', 3, kept, 0, restored, all_rows + added - kept FROM n
+    UNION ALL SELECT 'update', 4, kept, 0, raised, 0 FROM n""")
 def table_history(spark, sf):
-    path = fresh_path(spark, "history")
-    for _ in range(2):
-        merge.upsert_table(_accounts(spark, sf), path, ["c_custkey"])
-    return snapshots.history(spark, path).select("operation", "version", "rows")
+    """Every write with its changed rows; the second run of the upsert finds nothing to change."""
+    path, rows = fresh_path(spark, "history"), _accounts(spark, sf)
+    changed = rows.filter("c_mktsegment = 'BUILDING'").withColumn("c_acctbal", F.col("c_acctbal") + 100)
+    added = rows.filter("c_mktsegment = 'MACHINERY'").withColumn("c_custkey", -F.col("c_custkey") - 1)
+    for batch in (rows, changed.unionByName(added), changed.unionByName(added)):
+        merge.upsert_table(batch, path, ["c_custkey"], buckets=8)
+    merge.sync_table(rows.filter("c_acctbal >= 0"), path, ["c_custkey"])
+    merge.update_table(spark, path, F.col("c_mktsegment") == "MACHINERY", {"c_acctbal": F.col("c_acctbal") * 1.10})
+    return snapshots.history(spark, path).select("operation", "version", "rows", *snapshots.COUNTS)
 
 
 @query("""SELECT c_mktsegment AS department, count(*) AS headcount, round(avg(c_acctbal), 2) AS avg_salary, min(c_acctbal) AS min_salary,
