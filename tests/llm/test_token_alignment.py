@@ -109,3 +109,12 @@ def test_alphabet_and_vocabularies(pair):
     ids = pa.array([[220, 64], [], [65]], pa.list_(pa.int32()))
     assert m.joined_bytes(ids, pair.a_bytes).to_pylist() == [b" " + pair.a_bytes[64].as_py(), b"", pair.a_bytes[65].as_py()]
     assert np.array_equal(m._ends(ids, pair.a_bytes)[0].to_numpy(), [1, 2, (2 << 32) + 1])
+
+
+def test_both_ways_of_encoding_agree(pair, monkeypatch):
+    """Every code point, between letters, digits and spaces."""
+    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(chars), 4000):
+        text = " ".join(f"a{c}b {c}1 {c}{c}  {c}" for c in chars[at : at + 4000])[:100_000]
+        assert np.array_equal(pair.encode_a(text), pair.a.encode(" " + text, add_special_tokens=False).ids)
+    assert pair.a_ranks is not None and m.TokenizerPair(pair.files[0].replace(b'"use_regex": true', b'"use_regex": false').replace(b'"use_regex":true', b'"use_regex":false'), pair.files[1]).a_ranks is None
