@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terrasse.catalogue.base import query, table
+from terrasse.catalogue.base import ORACLES, query, table
 from terrasse.operators import governance as G
-from terrasse.operators import search
+from terrasse.operators import search, search_index
+from terrasse.settings import fresh_path
 
 # Parts read as registry rows: a brand is a product, each of its parts one published version.
 VERSIONS_SQL = """versions AS (SELECT p_brand AS product_id, p_partkey AS registered_at, p_type AS owner, p_size AS size,
@@ -180,3 +181,14 @@ def keyword_search(spark, sf):
 @query("""SELECT doc_id, CAST(0 AS DOUBLE) AS score FROM documents WHERE contains(lower(text), '@') ORDER BY doc_id LIMIT 20""")
 def substring_fallback(spark, sf):
     return search.keyword_search(table(spark, sf, "documents"), "doc_id", "text", "@")
+
+
+@query(ORACLES["keyword_search"])
+def indexed_search(spark, sf):
+    """The index is made from other texts, then brought to the documents: some are gone, some changed, most stay."""
+    path, docs = fresh_path(spark, "index"), table(spark, sf, "documents").select("doc_id", "text", "lang")
+    draft = docs.withColumn("text", F.when(F.col("lang") == "de", F.concat(F.lit("the draft of the "), "text")).otherwise(F.col("text")))
+    dropped = docs.filter("lang = 'fr'").withColumn("doc_id", -F.col("doc_id") - 1)
+    for texts in (draft.unionByName(dropped), docs):
+        search_index.update(texts, path, "doc_id", "text")
+    return search_index.search(spark, path, "the of", "doc_id")

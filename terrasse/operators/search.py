@@ -37,6 +37,16 @@ def _occurrences(words: str, term: str) -> Column:
     return F.size(words) - F.size(F.array_remove(words, term))
 
 
+def bm25(terms: int) -> Column:
+    """Score of a text with ``__len`` words, ``__tf<i>`` of them term ``i``, against the corpus in ``__stats`` (``n, avg_len, df<i>``)."""
+    def part(i: int) -> Column:
+        tf, seen, n = F.col(f"__tf{i}"), F.col(f"__stats.df{i}"), F.col("__stats.n")
+        idf = F.log(F.lit(1.0) + (n - seen + 0.5) / (seen + 0.5))
+        return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("__len") / F.col("__stats.avg_len")))
+
+    return reduce(lambda a, b: a + b, [part(i) for i in range(terms)])
+
+
 def keyword_search(df: DataFrame, key: str, text: str, query: str, limit: int | None = PAGE, digits: int = 6) -> DataFrame:
     """(key, score) of texts that hold every query term, best first.
 
@@ -61,13 +71,7 @@ def keyword_search(df: DataFrame, key: str, text: str, query: str, limit: int |
     )).scalar()
     scored = counted.filter(reduce(lambda a, b: a & b, [F.col(f"__tf{i}") > 0 for i in range(len(terms))])).withColumn("__stats", stats)
 
-    def part(i: int) -> Column:
-        tf, seen, n = F.col(f"__tf{i}"), F.col(f"__stats.df{i}"), F.col("__stats.n")
-        idf = F.log(F.lit(1.0) + (n - seen + 0.5) / (seen + 0.5))
-        return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("__len") / F.col("__stats.avg_len")))
-
-    score = F.round(reduce(lambda a, b: a + b, [part(i) for i in range(len(terms))]), digits)
-    ranked = scored.select(key, score.alias("score"))
+    ranked = scored.select(key, F.round(bm25(len(terms)), digits).alias("score"))
     return top_k(ranked, [F.col("score").desc(), F.col(key).asc()], limit) if limit else ranked
 
 
@@ -89,10 +93,21 @@ def product_text(products: DataFrame, fields: Sequence[str], arrays: Sequence[st
     return F.concat_ws(" ", *[F.col(c) for c in fields], *[F.concat_ws(" ", c) for c in arrays])
 
 
-def product_search(products: DataFrame, query: str, usage: DataFrame | None = None, limit: int = PAGE) -> DataFrame:
-    """Search registered products; adds matching column names, a text snippet and recent views."""
-    text = product_text(products, ["name", "description", "domain", "owner"], ["tags", "columns"])
-    found = keyword_search(products.withColumn("__text", text), "product_id", "__text", query, limit)
+PRODUCT_FIELDS, PRODUCT_LISTS = ("name", "description", "domain", "owner"), ("tags", "columns")
+
+
+def product_search(products: DataFrame, query: str, usage: DataFrame | None = None, limit: int = PAGE, index: str | None = None) -> DataFrame:
+    """Search registered products; adds matching column names, a text snippet and recent views.
+
+    With an ``index`` (`search_index.update` over `product_text`) only its postings are searched, and the page's products read.
+    """
+    from terrasse.operators import search_index
+
+    text = product_text(products, PRODUCT_FIELDS, PRODUCT_LISTS)
+    if index and query_terms(query):
+        found = search_index.search(products.sparkSession, index, query, "product_id", limit)
+    else:
+        found = keyword_search(products.withColumn("__text", text), "product_id", "__text", query, limit)
     q = query.lower()
     matches = F.filter("columns", lambda c: F.contains(F.lower(c), F.lit(q)))
     terms = query_terms(query)
