@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from terrasse.catalogue.base import AS_OF_SQL, as_of, query, table
 from terrasse.operators import keys, measures, rules
 from terrasse.plans import curate, health
 from terrasse.settings import fresh_path
-from terrasse.sinks import merge
+from terrasse.sinks import merge, writers
 from terrasse.sources import readers, snapshots
 from terrasse.streaming import events as streaming
 
@@ -188,6 +189,43 @@ def stream_dedup(spark, sf):
     return spark.read.parquet(target).select("event_id")
 
 
+@query("SELECT event_id, event_type, CAST(1 AS BIGINT) AS times FROM events")
+def stream_failed_batch(spark, sf):
+    """Three batches; the second breaks off after half its rows, the run ends, and a restart finishes it: every event is there once."""
+    source, target = fresh_path(spark, "batches"), fresh_path(spark, "landed")
+    events = table(spark, sf, "events").select("event_id", "event_type")
+    events.repartitionByRange(3, "event_id").write.parquet(source)
+    broken = []
+
+    def flaky(rows, folder):
+        if folder.endswith("batch=1") and not broken:
+            broken.append(folder)
+            rows.filter("event_id % 2 = 0").write.parquet(f"{folder}/event_type=lost")
+            raise OSError("the executor's disk is gone")
+        rows.write.mode("overwrite").partitionBy("event_type").parquet(folder)
+
+    for _ in range(2):
+        stream = streaming.file_stream(spark, source, "event_id bigint, event_type string", "parquet", files_per_batch=1)
+        try:
+            streaming.append_batches(stream, target, f"{target}-checkpoint", sink=flaky).awaitTermination()
+        except StreamingQueryException:
+            if not broken:
+                raise
+    return streaming.read_batches(spark, target).groupBy("event_id", "event_type").agg(F.count(F.lit(1)).alias("times"))
+
+
+@query("SELECT event_id, event_type, CASE WHEN event_type = 'click' THEN value END AS value FROM events")
+def stream_schema_evolution(spark, sf):
+    """A stream that is started again with one more column: rows of the first run have none."""
+    source, target = fresh_path(spark, "growing"), fresh_path(spark, "evolved")
+    events = table(spark, sf, "events").select("event_id", "event_type", "value")
+    clicks, schema = F.col("event_type") == "click", "event_id bigint, event_type string"
+    for rows, wide in ((events.filter(~clicks).drop("value"), schema), (events.filter(clicks), schema + ", value double")):
+        rows.write.mode("append").json(source)
+        streaming.append_stream(streaming.file_stream(spark, source, wide), target, f"{target}-checkpoint").awaitTermination()
+    return writers.read_evolved(spark, target)
+
+
 @query("""SELECT c_custkey, o_orderkey IS NOT NULL AS there FROM customer LEFT JOIN (SELECT DISTINCT o_custkey AS o_orderkey FROM orders) ON c_custkey = o_orderkey""")
 def existence_flag(spark, sf):
     members = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))

@@ -73,6 +73,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(context._jsc.hadoopConfiguration()).exists(target)
 
 
+def child_names(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
+    """Names of what lies in a folder, sorted."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(target)
+    return sorted(name for name in (f.getPath().getName() for f in found) if name.startswith(prefix))
+
+
 def durable(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

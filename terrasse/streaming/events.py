@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +10,10 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from terrasse.functions import schemas as S
 from terrasse.operators.rules import event_time
+from terrasse.settings import child_names, path_exists
+from terrasse.sinks.writers import overwrite_table, read_evolved
+
+BatchSink = Callable[[DataFrame, str], None]
 
 # Source and sink defaults.
 FILES_PER_BATCH = 20
@@ -61,6 +65,7 @@ def add_stream_metadata(df: DataFrame, source_path: str) -> DataFrame:
 
 def add_broker_metadata(df: DataFrame, topics: Sequence[str], group: str) -> DataFrame:
     return df.withColumns({
+        # Metadata columns of a bronze event row.
         "_processed_at": F.current_timestamp(),
         "_source_topics": F.lit(",".join(topics)),
         "_consumer_group": F.lit(group),
@@ -78,8 +83,11 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, partition_by: Seque
                   trigger: str | None = None, fmt: str = "parquet") -> StreamingQuery:
     """Append to a table with a checkpoint; without a trigger all pending input is processed once.
 
-    A restart on the same checkpoint continues where the last run ended and repeats no row.
+    A restart on the same checkpoint continues where the last run ended and repeats no row.  It may bring further columns:
+    `sinks.writers.read_evolved` then reads NULL in the rows of earlier runs.
     """
+    if fmt == "parquet":
+        refuse_narrowing(df, path)
     writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint).option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -87,6 +95,48 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, partition_by: Seque
     return writer.start()
 
 
+def append_batches(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = (), trigger: str | None = None,
+                   sink: BatchSink | None = None) -> StreamingQuery:
+    """Append batch by batch, each to ``<path>/batch=<id>/``, so that a batch is there whole and once, whenever a run fails.
+
+    A batch whose folder is complete was written before the checkpoint knew of it: it is skipped.  One that broke off is
+    written anew over what it left.  `read_batches` reads complete batches only.  ``sink`` writes a batch to a folder (by
+    default as Parquet); it may be called again for the same folder.
+    """
+    spark, write = df.sparkSession, sink or (lambda rows, folder: overwrite_table(rows, folder, partition_by))
+
+    def one(rows: DataFrame, batch: int) -> None:
+        folder = f"{path}/batch={batch}"
+        if not path_exists(spark, f"{folder}/_SUCCESS"):
+            write(rows, folder)
+
+    writer = df.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)).start()
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of all complete batches with their number in ``batch``; columns that came later are NULL in earlier batches."""
+    whole = [b for b in child_names(spark, path, "batch=") if path_exists(spark, f"{path}/{b}/_SUCCESS")]
+    if not whole:
+        raise LookupError(f"no complete batch in {path}")
+    return spark.read.option("mergeSchema", True).option("basePath", path).parquet(*[f"{path}/{b}" for b in whole])
+
+
+def refuse_narrowing(df: DataFrame, path: str) -> DataFrame:
+    """``df``, if it keeps every column that ``path`` stores with its type; a restarted stream may only add columns.
+
+    Parquet readers could not merge the files of a column that changed its type, and a column that is left out is
+    more often a mistake than a wish.
+    """
+    if not path_exists(df.sparkSession, path):
+        return df
+    stored, now = dict(read_evolved(df.sparkSession, path).dtypes), dict(df.dtypes)
+    wrong = sorted(c for c, t in stored.items() if now.get(c) != t)
+    if wrong:
+        raise ValueError(f"stored columns are missing or of another type: {', '.join(wrong)}")
+    return df
+
+
 def files_to_bronze(spark: SparkSession, source: str, target: str, checkpoint: str, schema: str = S.FLAT_EVENT,
                     trigger: str | None = FILE_TRIGGER) -> StreamingQuery:
     return append_stream(add_stream_metadata(file_stream(spark, source, schema), source), target, checkpoint, trigger=trigger)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from terrasse.functions import schemas as S
 from terrasse.operators.keys import drop_duplicate_events
+from terrasse.sinks.writers import read_evolved
 from terrasse.streaming import events as st
 
 
@@ -81,3 +82,61 @@ def test_duplicates_drop_in_stream_and_batch(spark, tmp_path):
     st.append_stream(st.drop_late_duplicates(stream), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
     assert rows(spark.read.parquet(str(tmp_path / "out")), "event_id") == [("a",), ("b",)]
     assert rows(drop_duplicate_events(df, "event_id", ["event_timestamp"]), "event_id", "n") == [("a", 1), ("b", 3)]
+
+
+def test_a_failed_batch_is_written_whole_and_once(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(30).repartitionByRange(3, "id").write.parquet(source)
+    calls = []
+
+    def sink(rows_, folder):
+        calls.append(folder.rsplit("=")[-1])
+        if calls == ["0", "1"]:
+            rows_.limit(2).write.parquet(f"{folder}/_temporary_part")
+            raise OSError("lost")
+        rows_.write.mode("overwrite").parquet(folder)
+
+    def run():
+        st.append_batches(st.file_stream(spark, source, "id bigint", "parquet", files_per_batch=1), out, str(tmp_path / "check"), sink=sink).awaitTermination()
+
+    with pytest.raises(Exception, match="lost"):
+        run()
+    assert rows(st.read_batches(spark, out), "batch") == [(0,)] * 10  # the broken batch is not seen
+    run()
+    run()
+    assert calls == ["0", "1", "1", "2"]
+    assert sorted(r["id"] for r in st.read_batches(spark, out).collect()) == list(range(30))
+
+
+def test_a_batch_the_checkpoint_does_not_know_is_skipped(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(5).write.parquet(source)
+    spark.range(5).write.parquet(f"{out}/batch=0")  # written, but the run ended before its commit
+    st.append_batches(st.file_stream(spark, source, "id bigint", "parquet"), out, str(tmp_path / "check")).awaitTermination()
+    assert st.read_batches(spark, out).count() == 5
+    with pytest.raises(LookupError):
+        (tmp_path / "none").mkdir()
+        st.read_batches(spark, str(tmp_path / "none"))
+
+
+def test_restart_with_more_columns(spark, tmp_path):
+    source, out, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+    source.mkdir()
+    (source / "a.json").write_text('{"id": 1}')
+    st.append_stream(st.file_stream(spark, str(source), "id int"), out, check).awaitTermination()
+    (source / "b.json").write_text('{"id": 2, "v": "x"}')
+    st.append_stream(st.file_stream(spark, str(source), "id int, v string"), out, check).awaitTermination()
+    assert rows(read_evolved(spark, out), "id", "v") == [(1, None), (2, "x")]
+    for narrow in ("v string", "id bigint, v string"):
+        with pytest.raises(ValueError, match="id"):
+            st.append_stream(st.file_stream(spark, str(source), narrow), out, check)
+
+
+def test_batches_with_more_columns(spark, tmp_path):
+    source, out, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+    source.mkdir()
+    (source / "a.json").write_text('{"id": 1, "d": "a"}')
+    st.append_batches(st.file_stream(spark, str(source), "id int, d string"), out, check, ["d"]).awaitTermination()
+    (source / "b.json").write_text('{"id": 2, "d": "b", "v": "x"}')
+    st.append_batches(st.file_stream(spark, str(source), "id int, d string, v string"), out, check, ["d"]).awaitTermination()
+    assert rows(st.read_batches(spark, out), "batch", "id", "d", "v") == [(0, 1, "a", None), (1, 2, "b", "x")]
