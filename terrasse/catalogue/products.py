@@ -101,12 +101,38 @@ def pii_map(spark, sf):
     return G.pii_map(G.schema_rows(registry, ["product_id"]))
 
 
-MANIFEST_RULES_SQL = """SELECT p_partkey AS product_id, 'id' AS field, 'pattern' AS rule FROM part WHERE p_size > 40
-    UNION ALL SELECT p_partkey, 'owner', 'required' FROM part WHERE p_type = 'PROMO'
-    UNION ALL SELECT p_partkey, 'format', 'choice' FROM part WHERE p_type = 'LARGE'
-    UNION ALL SELECT p_partkey, 'retention.days', 'range' FROM part WHERE p_size < 5
-    UNION ALL SELECT p_partkey, 'retention.colour', 'unknown' FROM part WHERE p_type = 'SMALL'
-    UNION ALL SELECT p_partkey, 'shade', 'unknown' FROM part WHERE p_brand = 'Brand#2'"""
+# By size of the part: what its manifest also says, and the rules that breaks.
+MANIFEST_CASES = {
+    5: ('"name": 5', [("name", "type")]),
+    6: ('"quality_sla": {"max_null_rate": 1.5, "freshness_hours": 24.0}', [("quality_sla.max_null_rate", "range")]),
+    7: ('"quality_sla": {"freshness_hours": 2.5}', [("quality_sla.freshness_hours", "type")]),
+    8: ('"quality_sla": {"freshness_hours": "24"}', [("quality_sla.freshness_hours", "type")]),
+    9: ('"schema": [{"name": "a"}]', [("schema[0].type", "required")]),
+    10: ('"schema": [{"name": "a", "type": "b", "colour": 1}]', [("schema[0].colour", "unknown")]),
+    11: ('"schema": [{"name": "a", "type": "b", "sensitivity": "low"}, {"name": "a", "type": "b", "sensitivity": "huge"}]', [("schema[1].sensitivity", "choice")]),
+    12: ('"schema": [{"name": 1, "type": "b", "pii": "yes", "nullable": true}]', [("schema[0].name", "type"), ("schema[0].pii", "type")]),
+    13: ('"column_lineage": [{"column": "c"}]', [("column_lineage[0].sources", "required")]),
+    14: ('"column_lineage": [{"column": "c", "sources": [{"product_id": "x"}]}]', [("column_lineage[0].sources[0].column", "required")]),
+    15: ('"column_lineage": [{"column": "c", "sources": [{"column": "d", "more": 1}], "description": null}]',
+         [("column_lineage[0].sources[0].more", "unknown"), ("column_lineage[0].description", "type")]),
+    16: ('"tags": ["a", 1]', [("tags[1]", "type")]),
+    17: ('"contract": {"slo": {"completeness_pct": 101, "x": 1}}', [("contract.slo.completeness_pct", "range"), ("contract.slo.x", "unknown")]),
+    18: ('"contract": {"schema_compatibility": "MAYBE", "guaranteed_columns": ["a", null]}', [("contract.schema_compatibility", "choice"), ("contract.guaranteed_columns[1]", "type")]),
+    19: ('"contract": {"deprecation": "soon"}', [("contract.deprecation", "type")]),
+    20: ('"retention": []', [("retention", "type")]),
+    21: ('"access": "secret", "product_type": "source"', [("access", "choice")]),
+    22: ('"product_type": "other", "source_products": "x"', [("product_type", "choice"), ("source_products", "type")]),
+    23: ('"schema": [{"name": "a", "type": "b"}], "tags": [], "contract": {"slo": {"completeness_pct": 99}, "deprecation": {"sunset_date": "2025-01-01"}}', []),
+    24: ('"schema": {', [("(root)", "not_an_object")]),
+}
+MANIFEST_RULES_SQL = """WITH read AS (SELECT * FROM part WHERE p_size <> 24)
+    SELECT p_partkey AS product_id, 'id' AS field, 'pattern' AS rule FROM read WHERE p_size > 40
+    UNION ALL SELECT p_partkey, 'owner', 'required' FROM read WHERE p_type = 'PROMO'
+    UNION ALL SELECT p_partkey, 'format', 'choice' FROM read WHERE p_type = 'LARGE'
+    UNION ALL SELECT p_partkey, 'retention.days', 'range' FROM read WHERE p_size < 5
+    UNION ALL SELECT p_partkey, 'retention.colour', 'unknown' FROM read WHERE p_type = 'SMALL' AND p_size <> 20
+    UNION ALL SELECT p_partkey, 'shade', 'unknown' FROM read WHERE p_brand = 'Brand#2'""" + "".join(
+    f" UNION ALL SELECT p_partkey, '{field}', '{rule}' FROM part WHERE p_size = {size}" for size, (_, broken) in MANIFEST_CASES.items() for field, rule in broken)
 
 
 @query(MANIFEST_RULES_SQL)
@@ -114,12 +140,14 @@ def manifest_violations(spark, sf):
     kind, size = F.col("p_type"), F.col("p_size")
     manifest = F.to_json(F.struct(
         F.when(size > 40, "Not An Id").otherwise(F.concat(F.lit("shop.part_"), F.col("p_partkey"))).alias("id"),
-        F.col("p_name").alias("name"), F.lit("shop").alias("domain"), F.when(kind != "PROMO", F.lit("team")).alias("owner"),
+        F.when(size != 5, F.col("p_name")).alias("name"), F.lit("shop").alias("domain"), F.when(kind != "PROMO", F.lit("team")).alias("owner"),
         F.lit("1.0.0").alias("version"), F.lit("a part").alias("description"), F.lit("s3://gold/shop/part").alias("source_path"),
         F.when(kind == "LARGE", "xlsx").otherwise("parquet").alias("format"),
-        F.struct((size - 4).alias("days"), F.when(kind == "SMALL", "red").alias("colour")).alias("retention"),
+        F.when(size != 20, F.struct((size - 4).alias("days"), F.when(kind == "SMALL", "red").alias("colour"))).alias("retention"),
         F.when(F.col("p_brand") == "Brand#2", "dark").alias("shade"),
     ))
+    more = F.try_element_at(F.create_map(*[F.lit(x) for s, (text, _) in MANIFEST_CASES.items() for x in (s, text)]), size)
+    manifest = F.when(more.isNull(), manifest).otherwise(F.concat(F.regexp_replace(manifest, r"\}$", ", "), more, F.lit("}")))
     manifests = table(spark, sf, "part").select(F.col("p_partkey").alias("product_id"), manifest.alias("manifest_json"))
     return G.manifest_violations(manifests, "product_id", "manifest_json")
 

@@ -37,34 +37,48 @@ MANIFEST = (
     "guaranteed_columns:array<string>,deprecation:struct<sunset_date:string,successor:string>>"
 )
 
-# Manifest rules.
-MANIFEST_REQUIRED = ("id", "name", "domain", "owner", "version", "description", "source_path", "format")
-MANIFEST_KEYS = MANIFEST_REQUIRED + (
-    "primary_key", "dag_id", "quality_sla", "access", "product_type", "source_products", "tags", "schema",
-    "column_lineage", "retention", "contract",
-)
-MANIFEST_PATTERNS = {"id": r"^[a-z0-9_]+\.[a-z0-9_]+$", "domain": r"^[a-z0-9_]+$", "version": r"^\d+\.\d+\.\d+$"}
-MANIFEST_CHOICES = {
-    "format": ("delta", "parquet", "csv"),
-    "access": ("public", "restricted"),
-    "product_type": ("source", "analytical"),
-    "retention.strategy": ("delete", "archive"),
-    "contract.schema_compatibility": ("BACKWARD", "FORWARD", "FULL", "NONE"),
-}
-MANIFEST_RANGES = {
-    "quality_sla.max_null_rate": (0, 1),
-    "quality_sla.freshness_hours": (1, None),
-    "retention.days": (1, None),
-    "contract.slo.freshness_hours": (1, None),
-    "contract.slo.completeness_pct": (0, 100),
-}
-MANIFEST_OBJECT_KEYS = {
-    "quality_sla": ("max_null_rate", "freshness_hours"),
-    "retention": ("days", "strategy", "partition_column"),
-    "contract": ("slo", "schema_compatibility", "guaranteed_columns", "deprecation"),
-    "contract.slo": ("freshness_hours", "completeness_pct"),
-    "contract.deprecation": ("sunset_date", "successor"),
-}
-MANIFEST_TEXT = ("id", "name", "domain", "owner", "version", "description", "source_path", "format", "primary_key", "dag_id")
+# Manifest rules, as a JSON schema.
 SENSITIVITIES = ("low", "medium", "high")
-WATCHED_KEYS = ("version", "description", "owner", "source_path", "format", "access")
+_TEXT, _TEXTS, _YES_NO, _FROM_ONE = {"type": "string"}, {"type": "array", "items": {"type": "string"}}, {"type": "boolean"}, {"type": "integer", "minimum": 1}
+
+
+def _choice(*values: str) -> dict:
+    return {"type": "string", "enum": list(values)}
+
+
+def _object(properties: dict, *required: str) -> dict:
+    return {"type": "object", "required": list(required), "additionalProperties": False, "properties": properties}
+
+
+MANIFEST_SCHEMA = _object(
+    {
+        "id": {"type": "string", "pattern": r"^[a-z0-9_]+\.[a-z0-9_]+$"},
+        "name": _TEXT,
+        "domain": {"type": "string", "pattern": r"^[a-z0-9_]+$"},
+        "owner": _TEXT,
+        "version": {"type": "string", "pattern": r"^\d+\.\d+\.\d+$"},
+        "description": _TEXT,
+        "source_path": _TEXT,
+        "format": _choice("delta", "parquet", "csv"),
+        "primary_key": _TEXT,
+        "dag_id": _TEXT,
+        "quality_sla": _object({"max_null_rate": {"type": "number", "minimum": 0, "maximum": 1}, "freshness_hours": _FROM_ONE}),
+        "access": _choice("public", "restricted"),
+        "product_type": _choice("source", "analytical"),
+        "source_products": _TEXTS,
+        "tags": _TEXTS,
+        "schema": {"type": "array", "items": _object(
+            {"name": _TEXT, "type": _TEXT, "nullable": _YES_NO, "description": _TEXT, "pii": _YES_NO, "sensitivity": _choice(*SENSITIVITIES)}, "name", "type")},
+        "column_lineage": {"type": "array", "items": _object(
+            {"column": _TEXT, "sources": {"type": "array", "items": _object({"product_id": _TEXT, "column": _TEXT}, "column")}, "description": _TEXT, "transformation": _TEXT},
+            "column", "sources")},
+        "retention": _object({"days": _FROM_ONE, "strategy": _choice("delete", "archive"), "partition_column": _TEXT}),
+        "contract": _object({
+            "slo": _object({"freshness_hours": _FROM_ONE, "completeness_pct": {"type": "number", "minimum": 0, "maximum": 100}}),
+            "schema_compatibility": _choice("BACKWARD", "FORWARD", "FULL", "NONE"),
+            "guaranteed_columns": _TEXTS,
+            "deprecation": _object({"sunset_date": _TEXT, "successor": _TEXT}),
+        }),
+    },
+    "id", "name", "domain", "owner", "version", "description", "source_path", "format",
+)

@@ -11,6 +11,7 @@ from pyspark.sql.types import ArrayType, StructType
 
 from terrasse.functions import schemas as S
 from terrasse.functions.versions import resolve_version
+from terrasse.operators import json_rules
 from terrasse.operators.keys import first_per_key
 from terrasse.operators.measures import top_k
 from terrasse.operators.ordered import over_order
@@ -61,47 +62,7 @@ def publish_versions(proposed: DataFrame, registry: DataFrame, version: str = "v
 
 def manifest_violations(manifests: DataFrame, product: str, manifest_json: str) -> DataFrame:
     """(product, field, rule) for every broken manifest rule; valid manifests give no row."""
-    text_map = "map<string,string>"
-    # Every object is parsed once; nested objects come out of their parent as text.
-    objects = {"(root)": F.col("__root")}
-    parsed = manifests.select(product, F.from_json(manifest_json, text_map).alias("__root"))
-    for i, field in enumerate(S.MANIFEST_OBJECT_KEYS):
-        parent, _, name = field.rpartition(".")
-        inner = F.try_element_at(objects[parent or "(root)"], F.lit(name))
-        parsed = parsed.withColumn(f"__o{i}", F.from_json(inner, text_map))
-        objects[field] = F.col(f"__o{i}")
-
-    def at(field):
-        parent, _, name = field.rpartition(".")
-        return F.try_element_at(objects[parent or "(root)"], F.lit(name))
-
-    def broken(condition, field, rule):
-        row = F.struct(F.lit(field).alias("field"), F.lit(rule).alias("rule"))
-        return F.array_compact(F.array(F.when(condition, row)))
-
-    def unknown(field, allowed):
-        prefix = "" if field == "(root)" else f"{field}."
-        extra = F.array_except(F.map_keys(objects[field]), F.array(*[F.lit(k) for k in allowed]))
-        return F.transform(
-            F.coalesce(extra, F.array().cast("array<string>")),
-            lambda k: F.struct(F.concat(F.lit(prefix), k).alias("field"), F.lit("unknown").alias("rule")),
-        )
-
-    found = [broken(F.col("__root").isNull(), "(root)", "not_an_object")]
-    found += [broken(at(f).isNull(), f, "required") for f in S.MANIFEST_REQUIRED]
-    found += [broken(~at(f).rlike(p), f, "pattern") for f, p in S.MANIFEST_PATTERNS.items()]
-    found += [broken(~at(f).isin(*c), f, "choice") for f, c in S.MANIFEST_CHOICES.items()]
-    for f, (low, high) in S.MANIFEST_RANGES.items():
-        n = at(f).try_cast("double")
-        outside = n.isNull() | (n < low) | (F.lit(False) if high is None else n > high)
-        found.append(broken(at(f).isNotNull() & outside, f, "range"))
-    found.append(unknown("(root)", S.MANIFEST_KEYS))
-    found += [unknown(f, keys) for f, keys in S.MANIFEST_OBJECT_KEYS.items()]
-
-    columns = F.from_json(at("schema"), f"array<{S.MANIFEST_COLUMN}>")
-    found.append(broken(F.exists(columns, lambda c: c["name"].isNull() | c["type"].isNull()), "schema", "required"))
-    found.append(broken(F.exists(columns, lambda c: ~c["sensitivity"].isin(*S.SENSITIVITIES)), "schema.sensitivity", "choice"))
-    return parsed.select(product, F.explode(F.concat(*found)).alias("__v")).select(product, "__v.*")
+    return json_rules.violations(manifests, product, manifest_json, S.MANIFEST_SCHEMA)
 
 
 def schema_rows(registry: DataFrame, keep: Sequence[str], manifest_json: str = "manifest_json") -> DataFrame:
