@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from terrasse.catalogue.base import query, table
 from terrasse.operators import lookup, measures
+from terrasse.plans import models
 
 GROUP_SQL = """SELECT c_mktsegment, count(*) AS row_count, round(avg(o_totalprice), 2) AS avg_value, min(o_totalprice) AS min_value,
        max(o_totalprice) AS max_value, round(sum(o_totalprice), 2) AS sum_value
@@ -183,3 +184,16 @@ def hash_sample(spark, sf):
 def linear_fit(spark, sf):
     out = measures.linear_fit(table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice")
     return out.withColumns({"slope": F.round("slope", 4), "intercept": F.round("intercept", 4)})
+
+
+@query("""WITH split AS (SELECT l_quantity AS a, l_discount AS b, l_extendedprice AS y,
+          CAST('0x' || substr(md5('42|' || l_orderkey || '|' || l_linenumber), 1, 8) AS BIGINT) % 10000 < 8000 AS train FROM lineitem),
+    c AS (SELECT count(*) AS n, avg(a) AS ma, avg(b) AS mb, avg(y) AS my, covar_pop(a, a) AS aa, covar_pop(a, b) AS ab, covar_pop(b, b) AS bb, covar_pop(a, y) AS ay, covar_pop(b, y) AS by_
+          FROM split WHERE train),
+    w AS (SELECT *, (ay * bb - by_ * ab) / (aa * bb - ab * ab) AS wa, (by_ * aa - ay * ab) / (aa * bb - ab * ab) AS wb FROM c),
+    m AS (SELECT *, my - wa * ma - wb * mb AS w0 FROM w),
+    s AS (SELECT count(*) AS n_test, sum((y - w0 - wa * a - wb * b) ** 2) AS res, var_pop(y) * count(*) AS tot FROM split, m WHERE NOT train)
+    SELECT 'l_quantity' AS term, round(wa, 4) AS value FROM m UNION ALL SELECT 'l_discount', round(wb, 4) FROM m UNION ALL SELECT 'intercept', round(w0, 4) FROM m
+    UNION ALL SELECT 'n_train', CAST(n AS DOUBLE) FROM m UNION ALL SELECT 'n_test', CAST(n_test AS DOUBLE) FROM s UNION ALL SELECT 'r2', round(1 - res / tot, 4) FROM s""")
+def linear_model(spark, sf):
+    return models.linear_model(table(spark, sf, "lineitem"), ["l_quantity", "l_discount"], "l_extendedprice", ["l_orderkey", "l_linenumber"], digits=4)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrasse.functions.ordering import double_key, double_of_key
 from terrasse.operators.ordered import over_order
 from terrasse.settings import durable
 
@@ -175,83 +176,38 @@ def density_2d(df: DataFrame, x: str, y: str, bins: int = BINS) -> DataFrame:
     return counts_by(points.select(position(x).alias("x_bin"), position(y).alias("y_bin")), ["x_bin", "y_bin"])
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int = 10_000) -> DataFrame:
-    """(column, p, value), exact, with linear interpolation.
+# Bits of a value that one round of a selection looks at.
+DIGIT = 16
 
-    Approximate quantiles first bracket every wanted one; then only the rows inside a bracket
-    are grouped by value, the rest is just counted per gap.  Should a quantile fall outside its
-    bracket, all values are grouped.
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """(column, p, value), exact, with linear interpolation; a column without values has no row.
+
+    A radix selection on whole numbers that order as the values do.  They are written once, two numbers for each value.  A
+    round counts the next ``DIGIT`` bits of those that share their upper bits with a wanted rank, combined on the map
+    side, and finds in these counts, 65,536 for each wanted rank at most, which bits it has.  Four rounds find all 64, so the
+    work does not depend on what the values are, and ranks of equal values need no special care.
     """
-    brackets = _brackets(df, columns, probabilities, accuracy)
-    found = durable(_quantiles_between(df, brackets, probabilities), "quantiles")
-    if found.filter(F.col("value").isNull()).isEmpty():
-        return found
-    return _quantiles_between(df, {c: [(None, None)] for c in brackets}, probabilities)
-
-
-# Rows the brackets are estimated from, so that their sketches stay small however many tasks there are.
-BRACKET_ROWS = 1_000_000
-
-
-def _brackets(df, columns, probabilities, accuracy):
-    total = df.count()
-    sampled = total > BRACKET_ROWS
-    # A sample of a million rows misses a rank by about 0.05 %; the margin is ten times that.
-    margin = max(4 / accuracy, 0.005) if sampled else 4 / accuracy
-    if sampled:
-        df = df.sample(BRACKET_ROWS / total, 42)
-    around = [min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)]
-    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), around, accuracy).alias(f"q{i}") for i, c in enumerate(columns)]).first()
-    out = {}
-    for i, c in enumerate(columns):
-        if row[i] is None:
-            out[c] = [(None, None)]  # no value seen: group them all
-            continue
-        merged: list[list[float]] = []
-        for low, high in sorted(zip(row[i][::2], row[i][1::2], strict=True)):
-            if merged and low <= merged[-1][1]:
-                merged[-1][1] = max(merged[-1][1], high)
-            else:
-                merged.append([low, high])
-        out[c] = [tuple(b) for b in merged]
-    return out
-
-
-def _quantiles_between(df, brackets, probabilities):
-    if not brackets:
+    if not columns or not probabilities:
         return df.sparkSession.createDataFrame([], "column string, p double, value double")
-
-    def located(c: str, spans) -> Column:
-        # Slot 2i lies below bracket i, slot 2i + 1 inside it.
-        v = F.col(c).cast("double")
-        if spans == [(None, None)]:
-            slot, inside = F.lit(1), F.lit(True)
-        else:
-            slot = F.lit(2 * len(spans))
-            for i, (low, high) in reversed(list(enumerate(spans))):
-                slot = F.when(v < low, 2 * i).when(v <= high, 2 * i + 1).otherwise(slot)
-            inside = slot % 2 == 1
-        return F.struct(
-            F.lit(c).alias("column"), slot.alias("slot"), F.when(inside, v).alias("v"), v.isNotNull().alias("known")
-        )
-
-    rows = df.select(F.explode(F.array(*[located(c, s) for c, s in brackets.items()])).alias("e")).select("e.*").filter("known")
-    per_value = durable(rows.groupBy("column", "slot", "v").agg(F.count(F.lit(1)).alias("n")), "value-counts")
-    running = over_order(per_value, ["column"], ["slot", "v"], total={"upto": "n"})
-    targets = per_value.groupBy("column").agg(F.sum("n").alias("total")).select(
-        "column", "total", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("p")
-    ).withColumn("pos", F.col("p") * (F.col("total") - 1))
-
-    def covers(position: Column) -> Column:
-        return (F.col("upto") - F.col("n") <= position) & (position < F.col("upto"))
-
-    # Few target rows: one per column and probability.
-    hit = running.join(F.broadcast(targets), "column").filter(covers(F.floor("pos")) | covers(F.ceil("pos")))
-    edges = hit.groupBy("column", "p", "pos").agg(
-        F.min("v").alias("lo"), F.max("v").alias("hi"), F.bool_or(F.col("v").isNull()).alias("outside")
-    )
-    value = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("pos") - F.floor("pos"))
-    return edges.select("column", "p", F.when(~F.col("outside"), value).alias("value"))
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), double_key(F.col(c).cast("double")).alias("key")) for c in columns])
+    keys = durable(df.select(F.explode(cells).alias("e")).select("e.*").filter("key IS NOT NULL"), "ordered-keys")
+    pos = F.col("p") * (F.col("total") - 1)
+    wanted = keys.groupBy("column").agg(F.count(F.lit(1)).alias("total")).withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
+    sides = F.array(F.floor(pos).cast("bigint"), F.ceil(pos).cast("bigint"))
+    wanted = wanted.select("column", "p", pos.alias("pos"), F.posexplode(sides).alias("side", "rank"), F.lit(0).cast("bigint").alias("upper"))
+    wanted = durable(wanted, "ranks")  # two rows per column and probability, here and after each round
+    for shift in range(64 - DIGIT, -1, -DIGIT):
+        upper = F.shiftright("key", shift + DIGIT) if shift + DIGIT < 64 else F.lit(0).cast("bigint")
+        near = keys.join(F.broadcast(wanted.select("column", F.col("upper").alias("__upper")).distinct()), "column").filter(upper == F.col("__upper"))
+        counts = near.groupBy("column", F.col("__upper").alias("upper"), F.shiftright("key", shift).alias("next")).agg(F.count(F.lit(1)).alias("n"))
+        before = F.sum("n").over(Window.partitionBy("column", "upper").orderBy("next")) - F.col("n")
+        found = wanted.join(counts.withColumn("before", before), ["column", "upper"]).filter(F.col("rank").between(F.col("before"), F.col("before") + F.col("n") - 1))
+        wanted = durable(found.select("column", "p", "pos", "side", (F.col("rank") - F.col("before")).alias("rank"), F.col("next").alias("upper")), "ranks")
+    value = double_of_key(F.col("upper"))
+    ends = wanted.groupBy("column", "p", "pos").agg(F.max(F.when(F.col("side") == 0, value)).alias("lo"), F.max(F.when(F.col("side") == 1, value)).alias("hi"))
+    between = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("pos") - F.floor("pos"))
+    return ends.select("column", "p", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(between).alias("value"))
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str], digits: int = 6, approximate: bool = False) -> DataFrame:

@@ -1,11 +1,13 @@
 import random
+import struct
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
+from terrasse.functions.ordering import double_key, double_of_key
 from terrasse.operators import history, lookup, measures
-from terrasse.plans.models import fit_and_score
+from terrasse.plans.models import fit_and_score, in_training, linear_model
 
 
 def test_share_of_total_and_in_group(spark):
@@ -33,25 +35,41 @@ def test_density(spark):
     assert rows(measures.density_2d(df, "x", "y")) == [(1, 1, 1), (30, 30, 1)]
 
 
-@pytest.mark.parametrize("accuracy", [10_000, 4])
-def test_quantiles_are_exact(spark, accuracy, small_runs):
+def test_quantiles_are_exact(spark):
     rng = random.Random(5)
-    data = [(rng.choice([None, float(rng.randint(0, 30)), rng.random() * 30]), float(i)) for i in range(101)]
-    df = spark.createDataFrame(data, "a double, b double")
-    got = {(r.column, r.p): r.value for r in measures.exact_quantiles(df, ["a", "b"], [0.0, 0.25, 0.5, 1.0], accuracy).collect()}
-    known = sorted(v for v, _ in data if v is not None)
-    for p in (0.0, 0.25, 0.5, 1.0):
+    data = [(rng.choice([None, float(rng.randint(0, 30)), rng.random() * 30, -rng.random() * 1e-9, rng.choice([-1, 1]) * 10.0 ** rng.randint(-320, 300)]), float(i), 7, None) for i in range(401)]
+    df = spark.createDataFrame(data, "a double, b double, c int, d double")
+    wanted = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
+    got = {(r.column, r.p): r.value for r in measures.exact_quantiles(df, ["a", "b", "c", "d"], wanted).collect()}
+    known = sorted(r[0] for r in data if r[0] is not None)
+    for p in wanted:
         pos = p * (len(known) - 1)
         low = int(pos)
-        high = min(low + 1, len(known) - 1)
-        assert abs(got["a", p] - (known[low] + (known[high] - known[low]) * (pos - low))) < 1e-9
-        assert got["b", p] == 100 * p
+        high = min(low + (pos > low), len(known) - 1)
+        assert got["a", p] == known[low] + (known[high] - known[low]) * (pos - low)
+        assert got["b", p] == pytest.approx(400 * p, abs=1e-12) and got["c", p] == 7.0 and ("d", p) not in got
+    assert measures.exact_quantiles(df.limit(0), ["a"], [0.5]).count() == 0 == measures.exact_quantiles(df, [], [0.5]).count()
 
 
-def test_quantiles_from_a_sample_stay_exact(spark, monkeypatch):
-    monkeypatch.setattr(measures, "BRACKET_ROWS", 200)
-    df = spark.range(5001).select((F.col("id") * 7919 % 5001).cast("double").alias("v"))
-    assert {r.p: r.value for r in measures.exact_quantiles(df, ["v"], [0.25, 0.5]).collect()} == {0.25: 1250.0, 0.5: 2500.0}
+def test_keys_order_as_doubles_and_lead_back(spark):
+    rng = random.Random(8)
+    powers = [s * 2.0**e * f for e in range(-1074, 1024, 7) for s in (1, -1) for f in (1.0, 1.0 + 2**-52, 2.0 - 2**-52)]
+    values = [0.0, -0.0, float("inf"), float("-inf"), 5e-324, -5e-324, 2.0**-1022, 2.0**-1022 - 5e-324, 1.7976931348623157e308, 0.1, 1 / 3, *powers]
+    values += [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").withColumn("k", double_key(F.col("v"))).withColumn("back", double_of_key(F.col("k")))
+    found = df.collect()
+    assert all((r.back == r.v or (r.v != r.v and r.back != r.back)) and (r.v is None) == (r.k is None) for r in found)
+    plain = [(r.v, r.k) for r in found if r.v is not None and r.v == r.v]
+    for v, k in plain:
+        assert abs(k) == struct.unpack("<q", struct.pack("<d", abs(v)))[0] and (k < 0) == (v < 0)
+    assert max(k for _, k in plain) < min(r.k for r in found if r.v is not None and r.v != r.v)
+
+
+def test_a_selection_reads_values_once_and_counts(spark):
+    spark.range(1000).select((F.col("id") * 7919 % 1000 / 10).alias("v")).createOrReplaceTempView("few")
+    r = measures.exact_quantiles(spark.table("few"), ["v"], [0.25, 0.999])
+    assert {x.p: x.value for x in r.collect()} == pytest.approx({0.25: 24.975, 0.999: 99.8001})
+    assert "few" not in plan(r) and "Python" not in plan(r)
 
 
 def test_describe(spark):
@@ -134,3 +152,22 @@ def test_linear_fit_and_model(spark):
     assert (fit.slope, fit.intercept, fit.r2, fit.n) == (3.0, 2.0, 1.0, 200)
     model = fit_and_score(df, ["x"], "y")
     assert abs(model["coefficients"][0] - 3) < 1e-6 and model["r2"] > 0.999
+
+
+def test_model_on_held_out_rows(spark):
+    import numpy as np
+
+    rng = random.Random(2)
+    data = [(i, float(a), b, 2.0 * a - 3.0 * b + 5 + rng.gauss(0, 1) if i % 11 else None) for i, (a, b) in enumerate((rng.randint(0, 9), rng.random()) for _ in range(600))]
+    df = spark.createDataFrame(data, "id int, a double, b double, y double").repartition(5)
+    chosen = {r["id"] for r in df.filter(in_training(["id"])).collect()}
+    assert 440 < len(chosen) < 520 and chosen == {r["id"] for r in df.coalesce(1).orderBy("y").filter(in_training(["id"])).collect()}
+    known = [r for r in data if r[3] is not None]
+    x, y, t = (np.array([[1, r[1], r[2]] for r in known]), np.array([r[3] for r in known]), np.array([r[0] in chosen for r in known]))
+    w = np.linalg.lstsq(x[t], y[t], rcond=None)[0]
+    left = y[~t] - x[~t] @ w
+    want = {"intercept": w[0], "a": w[1], "b": w[2], "r2": 1 - (left**2).sum() / ((y[~t] - y[~t].mean()) ** 2).sum(), "n_train": t.sum(), "n_test": (~t).sum()}
+    assert {r.term: r.value for r in linear_model(df, ["a", "b"], "y", ["id"]).collect()} == pytest.approx(want, abs=2e-6)
+    twice = linear_model(df.withColumn("c", F.col("a") * 2), ["a", "c"], "y", ["id"])
+    assert {r.term: r.value for r in twice.collect()}["a"] is None
+    assert {r.term: r.value for r in linear_model(df.limit(0), ["a"], "y", ["id"]).collect()} == {"a": None, "intercept": None, "n_train": 0.0, "n_test": 0.0, "r2": None}
