@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from terrasse.catalogue.base import ORACLES, query, table
 from terrasse.operators import governance as G
 from terrasse.operators import search, search_index
+from terrasse.plans import products
 from terrasse.settings import fresh_path
+from terrasse.sources import snapshots
 
 # Parts read as registry rows: a brand is a product, each of its parts one published version.
 VERSIONS_SQL = """versions AS (SELECT p_brand AS product_id, p_partkey AS registered_at, p_type AS owner, p_size AS size,
@@ -211,6 +215,36 @@ def substring_fallback(spark, sf):
     return search.keyword_search(table(spark, sf, "documents"), "doc_id", "text", "@")
 
 
+@query("""WITH n AS (SELECT count(*) AS whole, count(*) FILTER (o_orderstatus <> 'F') AS part FROM orders)
+    SELECT 1 AS attempt, '' AS problem, part AS visible_rows, '1.0.0' AS version FROM n
+    UNION ALL SELECT 2, 'schema o_orderpriority removed', part, '1.0.0' FROM n
+    UNION ALL SELECT 3, 'schema o_totalprice type_changed', part, '1.0.0' FROM n
+    UNION ALL SELECT 4, 'contract null_rate[o_custkey] warning', part, '1.0.0' FROM n
+    UNION ALL SELECT 5, 'manifest contract.slo.completeness_pct range', part, '1.0.0' FROM n
+    UNION ALL SELECT 6, '', whole, '1.0.1' FROM n""")
+def publish_gate(spark, sf):
+    """Six publications of one product: what was refused, and what a reader sees after each."""
+    path, registry = fresh_path(spark, "published"), fresh_path(spark, "registry")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
+    contract = {"schema_compatibility": "BACKWARD", "guaranteed_columns": ["o_orderkey", "o_custkey"], "slo": {"completeness_pct": 10}}
+    manifest = {"id": "shop.orders", "name": "Orders", "domain": "shop", "owner": "team", "version": "1.0.0", "description": "orders", "source_path": path,
+                "quality_sla": {"max_null_rate": 0.01}, "contract": contract}
+    attempts = [
+        (orders.filter("o_orderstatus <> 'F'"), manifest), (orders.drop("o_orderpriority"), manifest), (orders.withColumn("o_totalprice", F.col("o_totalprice").cast("string")), manifest),
+        (orders.withColumn("o_custkey", F.when(F.col("o_orderstatus") != "F", F.col("o_custkey"))), manifest),
+        (orders, {**manifest, "contract": {**contract, "slo": {"completeness_pct": 101}}}), (orders.withColumn("extra", F.lit(1)), manifest)]
+    seen = []
+    for i, (rows, wanted) in enumerate(attempts, 1):
+        problem = ""
+        try:
+            products.publish_checked(rows, registry, wanted)
+        except products.PublicationRefused as refused:
+            problem = "; ".join(" ".join(p) for p in refused.problems)
+        version = G.product(spark.read.parquet(registry), "shop.orders").first()["version"]
+        seen.append(snapshots.read_version(spark, path).agg(F.count(F.lit(1)).alias("visible_rows")).select(F.lit(i).alias("attempt"), F.lit(problem).alias("problem"), "visible_rows", F.lit(version).alias("version")))
+    return reduce(lambda a, b: a.unionByName(b), seen)
+
+
 @query(ORACLES["keyword_search"])
 def indexed_search(spark, sf):
     """The index is made from other texts, then brought to the documents: some are gone, some changed, most stay."""

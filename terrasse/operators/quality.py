@@ -79,9 +79,17 @@ def null_rate_at_most(df: DataFrame, column: str, limit: float = MAX_EXTRACTED_N
 
 def run_checks(df: DataFrame, checks: Sequence[Check], digits: int = 4) -> DataFrame:
     """(check_name, severity, passed, observed, expected, row_count), one row per check."""
-    measured = [c for c in checks if c.verdict is None]
-    wide = df.agg(F.count(F.lit(1)).alias("rows"), *[c.observed.alias(f"m{i}") for i, c in enumerate(measured)])
-    index = {c.name: i for i, c in enumerate(measured)}
+    return judged(df.agg(*measures_of(checks)), checks, digits)
+
+
+def measures_of(checks: Sequence[Check]) -> list[Column]:
+    """What all checks have to know of a table, as aggregates: the rows and one measure for each check that needs data."""
+    return [F.count(F.lit(1)).alias("rows"), *[c.observed.alias(f"m{i}") for i, c in enumerate(c for c in checks if c.verdict is None)]]
+
+
+def judged(wide: DataFrame, checks: Sequence[Check], digits: int = 4) -> DataFrame:
+    """Check rows from the one row of `measures_of`, aggregated or observed during a write."""
+    index = {c.name: i for i, c in enumerate(c for c in checks if c.verdict is None)}
 
     def row(c: Check) -> Column:
         if c.verdict is None:

@@ -13,7 +13,7 @@ the files they are in.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -149,33 +149,41 @@ def _log(spark: SparkSession, table: str, version: int, operation: str, rows: in
     ).write.mode("append").parquet(f"{table}/_history")
 
 
-def _write(df: DataFrame, path: str, partition_by: Sequence[str]) -> int:
+def _write(df: DataFrame, path: str, partition_by: Sequence[str], observed: Sequence[Column] = ()) -> dict[str, object]:
     seen = Observation("written")
     balanced = df.hint("rebalance", *partition_by) if partition_by else df
-    writer = balanced.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")  # replaces a failed attempt
+    writer = balanced.observe(seen, F.count(F.lit(1)).alias("rows"), *observed).write.mode("overwrite")  # replaces a failed attempt
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return seen.get["rows"]
+    return seen.get
 
 
 def _write_parts(df: DataFrame, table: str, version: int) -> tuple[int, DataFrame]:
     """Rows written, and ``part, rows`` of what was written, counted from the files' footers."""
     path, spark = f"{table}/snapshot={version}", df.sparkSession
-    rows = _write(df, path, [PART])
+    rows = _write(df, path, [PART])["rows"]
     files = spark.read.schema(StructType([StructField(PART, StringType())])).parquet(path)
     return rows, files.groupBy(F.col(PART).alias("part")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def commit(df: DataFrame, table: str, operation: str, partition_by: tuple[str, ...] = (), ts: datetime | None = None,
-           layout: Layout | None = None, counts: Mapping[str, int] | None = None) -> int:
-    """Write a whole new version and return its number; a first version counts all its rows as inserted."""
+           layout: Layout | None = None, counts: Mapping[str, int] | None = None, observed: Sequence[Column] = (),
+           accept: Callable[[Mapping[str, object]], None] | None = None) -> int:
+    """Write a whole new version and return its number; a first version counts all its rows as inserted.
+
+    ``observed`` are named aggregates, measured while the rows are written; ``accept`` gets their values and ``rows``.  If it
+    raises, the version stays staged: no reader sees it, and the next write replaces it.
+    """
     spark = df.sparkSession
     last = current_version(spark, table)
     version = 0 if last is None else last + 1
     if layout is None:
-        rows = _write(df, f"{table}/snapshot={version}", partition_by)
+        seen = _write(df, f"{table}/snapshot={version}", partition_by, observed)
+        rows = seen["rows"]
+        if accept:
+            accept(seen)
     else:
-        if partition_by:
-            raise ValueError("a layout has partitions of its own")
+        if partition_by or accept:
+            raise ValueError("a layout has partitions of its own, and is not written under observation")
         rows, written = _write_parts(df.withColumn(PART, layout.part(df)), table, version)
         written.write.mode("overwrite").parquet(f"{table}/_parts/version={version}")
     _log(spark, table, version, operation, rows, counts or ({"inserted": rows, "updated": 0, "deleted": 0} if last is None else {}), True, layout, df.schema, ts)

@@ -272,3 +272,39 @@ def test_anomalies(spark, small_runs):
     df = spark.createDataFrame([("p", i, 10.0 + i % 2) for i in range(40)] + [("p", 40, 99.0)], "product_id string, i int, v double")
     out = U.anomalies(df, ["product_id"], ["i"], "v")
     assert rows(out.filter("is_anomaly"), "i") == [(40,)] and out.count() == 41
+
+
+def test_publications_are_whole_or_refused(spark, tmp_path):
+    from terrasse.plans import products
+    from terrasse.sources import snapshots
+
+    path, registry = str(tmp_path / "t"), str(tmp_path / "registry")
+    df = spark.createDataFrame([(1, "a", 1.0), (2, None, 2.0)], "id bigint, name string, v double")
+    manifest = {**GOOD, "source_path": path, "format": "parquet", "version": "1.0.0", "schema": [{"name": "name", "type": "?", "pii": True, "sensitivity": "high"}],
+                "contract": {"schema_compatibility": "FULL", "guaranteed_columns": ["id"]}, "quality_sla": {"max_null_rate": 0.0}}
+
+    def refused(rows_, changed):
+        before = spark.read.parquet(registry).count() if path_is_there() else 0
+        with pytest.raises(products.PublicationRefused) as e:
+            products.publish_checked(rows_, registry, {**manifest, **changed})
+        assert (spark.read.parquet(registry).count() if path_is_there() else 0) == before
+        return e.value.problems
+
+    def path_is_there():
+        return (tmp_path / "registry").exists()
+
+    assert refused(df, {"owner": None}) == [("manifest", "owner", "type")] and not (tmp_path / "t").exists()
+    assert refused(df, {"contract": {"guaranteed_columns": ["id", "name", "gone"]}}) == [("contract", "column_exists[gone]", "critical"), ("contract", "null_rate[name]", "warning")]
+    assert not snapshots.exists(spark, path)  # staged only
+    made = products.publish_checked(df, registry, manifest)
+    assert [(c["name"], c["type"], c["nullable"], c.get("pii")) for c in made["schema"]] == [("id", "long", False, None), ("name", "string", True, True), ("v", "double", False, None)]
+    assert refused(df.withColumn("more", F.lit(1)), {}) == [("schema", "more", "added")]
+    assert refused(df.drop("v").withColumn("id", F.col("id").cast("int")), {}) == [("schema", "id", "type_changed"), ("schema", "v", "removed")]
+    again = products.publish_checked(df.filter("id = 1"), registry, manifest)
+    assert again["version"] == "1.0.1" and snapshots.read_version(spark, path).count() == 1 and snapshots.read_version(spark, path, 0).count() == 2
+    assert rows(G.latest_products(spark.read.parquet(registry)), "version") == [("1.0.1",)]
+    forward = {"contract": {"schema_compatibility": "FORWARD"}}
+    assert refused(df.withColumn("more", F.lit(1)), forward) == [("schema", "more", "added")]
+    products.publish_checked(df.drop("v"), registry, {**manifest, **forward, "version": "2.0.0"})
+    products.publish_checked(df.withColumn("w", F.lit(1)).limit(0), registry, {**manifest, "contract": {}, "version": "3.0.0"})  # no rule, no promise, no rows
+    assert snapshots.read_version(spark, path).columns == ["id", "name", "v", "w"]
