@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from terrasse.catalogue.base import AS_OF_SQL, USAGE_SQL, as_of, query, table, usage
 from terrasse.functions.scalars import days_before, schedule_hours
-from terrasse.operators import keys
+from terrasse.operators import distinct, keys
 from terrasse.operators import usage as U
 
 PRODUCTS_SQL = """products AS (SELECT DISTINCT 'p' || c_nationkey AS product_id, CAST(CASE c_nationkey % 3 WHEN 0 THEN 2 WHEN 1 THEN 25 END AS INTEGER) AS freshness_hours,
@@ -210,3 +210,11 @@ def platform_totals(spark, sf):
     versions = usage(spark, sf).select("product_id", "event_id", F.col("ts").alias("registered_at"))
     published = U.recent_publications(versions, as_of(), 40, None, tie=["event_id"])
     return U.platform_totals(_products(spark, sf), published, as_of=as_of(), days=30)
+
+
+@query(f"""WITH d AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', {AS_OF_SQL}, INTERVAL 1 DAY))::DATE AS day)
+    SELECT event_type, day, count(DISTINCT user_id) AS users FROM d JOIN events ON ts::DATE BETWEEN day - 6 AND day GROUP BY 1, 2""")
+def distinct_trailing(spark, sf):
+    """Users of the last seven days, for every day and kind of event, from a bitmap per day."""
+    bitmaps = distinct.daily_bitmaps(table(spark, sf, "events"), ["event_type"], "user_id", "ts")
+    return distinct.trailing_exact(bitmaps, ["event_type"], 7, F.lit("2024-01-01").cast("date"), as_of().cast("date"))

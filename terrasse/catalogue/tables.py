@@ -260,3 +260,9 @@ def seen_before(spark, sf):
 @query("SELECT event_type, count(DISTINCT user_id) AS users FROM events GROUP BY 1")
 def distinct_users(spark, sf):
     return measures.distinct_count(table(spark, sf, "events"), ["event_type"], "user_id", "users")
+
+
+@query("""SELECT count(*) AS rows, count(l_orderkey) AS n_l_orderkey, min(l_orderkey) AS min_l_orderkey, max(l_orderkey) AS max_l_orderkey,
+    count(l_quantity) AS n_l_quantity, min(l_quantity) AS min_l_quantity, max(l_quantity) AS max_l_quantity FROM lineitem""")
+def footer_values(spark, sf):
+    return readers.footer_values(spark, f"{sf}/lineitem.parquet", ["l_orderkey", "l_quantity"])

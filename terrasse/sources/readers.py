@@ -103,3 +103,20 @@ def synthetic_rows(spark: SparkSession, n: int, seed: int = 42) -> DataFrame:
 def row_count(df: DataFrame) -> int:
     """Row count; on Parquet this reads footers only."""
     return df.count()
+
+
+def footer_values(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFrame:
+    """Row count of a Parquet table, and count, minimum and maximum of some columns, from the files' footers alone.
+
+    One row: ``rows``, ``n_<column>``, ``min_<column>``, ``max_<column>``.  The second data-source API answers these aggregates
+    without reading a page; it is switched on in a session of its own, so other reads stay as they are.  Columns are numbers,
+    dates or booleans: footers hold no exact bounds of texts.
+    """
+    own = spark.newSession()
+    for name, value in {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}.items():
+        own.conf.set(name, value)
+    table = own.read.parquet(path)
+    wrong = [c for c in columns if dict(table.dtypes)[c] in ("string", "binary") or dict(table.dtypes)[c].startswith(("timestamp", "array", "map", "struct"))]
+    if wrong:
+        raise ValueError(f"no exact bounds in footers: {', '.join(wrong)}")
+    return table.agg(F.count(F.lit(1)).alias("rows"), *[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("n", F.count), ("min", F.min), ("max", F.max))])
