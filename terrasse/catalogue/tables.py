@@ -81,6 +81,24 @@ def table_history(spark, sf):
     return snapshots.history(spark, path).select("operation", "version", "rows", *snapshots.COUNTS)
 
 
+@query("""WITH e AS (SELECT json_extract_string(props, '$.k') AS k, event_type, ts, CASE WHEN event_type <> 'error' THEN CAST(event_id AS INTEGER) ELSE 0 END AS seq, event_type = 'purchase' AS late FROM events),
+    one AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY k, late ORDER BY ts DESC, event_type DESC, seq DESC) = 1)
+    SELECT k, event_type, seq FROM one QUALIFY row_number() OVER (PARTITION BY k ORDER BY late DESC) = 1""")
+def bronze_to_silver(spark, sf):
+    """The whole job, run for two bronze deliveries and again for the second: read, extract, cast, fill, latest per key, upsert."""
+    silver = fresh_path(spark, "silver")
+    seq = F.when(F.col("event_type") == "error", "bad").otherwise(F.col("event_id").cast("string"))
+    events = table(spark, sf, "events").select(
+        F.to_json(F.struct(F.get_json_object("props", "$.k").alias("k"), seq.alias("seq"))).alias("payload_json"), "event_type", F.col("ts").alias("_ingested_at"))
+    for late in (False, True, True):
+        bronze = fresh_path(spark, "bronze")
+        events.filter((F.col("event_type") == "purchase") == late).write.parquet(bronze)
+        curate.bronze_to_silver(spark, {
+            "source": bronze, "target": silver, "primary_key": "k", "cast": {"seq": "int"}, "null_handling": {"drop_if_null": ["k"], "fill": {"seq": 0}},
+            "payload_extract": {"from_column": "payload_json", "fields": {"k": "$.k", "seq": "$.seq"}}})
+    return readers.read_table(spark, silver).select("k", "event_type", "seq")
+
+
 @query("""SELECT c_mktsegment AS department, count(*) AS headcount, round(avg(c_acctbal), 2) AS avg_salary, min(c_acctbal) AS min_salary,
            max(c_acctbal) AS max_salary, round(sum(c_acctbal), 2) AS total_payroll FROM customer GROUP BY 1""")
 def silver_to_gold(spark, sf):

@@ -251,9 +251,10 @@ def flow_matrix(
     labels cannot multiply rows.
     """
     parts = [code, *labels]
+    # Read by the count of the keys and by the ordered pass.
+    narrow = durable(stays.select(key, date, *tie_breakers, *[p for p in parts if p not in tie_breakers]), "stays")
     previous = over_order(
-        stays.select(key, date, *tie_breakers, *[p for p in parts if p not in tie_breakers]),
-        [key], [date, *tie_breakers], lag={f"from_{p}": p for p in parts},
+        narrow, [key], [date, *tie_breakers], lag={f"from_{p}": p for p in parts},
     )
     forward = (
         previous.filter(F.col(f"from_{code}").isNotNull() & (F.col(f"from_{code}") != F.col(code)))

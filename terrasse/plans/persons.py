@@ -69,6 +69,27 @@ def family_fields(events: DataFrame) -> DataFrame:
     return parsed.select(*[c.alias(n) for n, c in {**_event_columns(), **found}.items()])
 
 
+def read_person_events(events: DataFrame) -> DataFrame:
+    """The fields of all person events, their JSON parsed once and written narrow.
+
+    `person_registry` and `residence_history` take this table or the events themselves; give it where both are wanted.
+    """
+    return durable(person_fields(events).filter(F.col("event_type").isin(*STATE_EVENTS)), "person-fields")
+
+
+def read_family_events(events: DataFrame) -> DataFrame:
+    """As `read_person_events`, for `person_registry` and `family_relations`."""
+    return durable(family_fields(events).filter(F.col("event_type").isin(MARRIAGE, DIVORCE, BIRTH)), "family-fields")
+
+
+def _persons(events: DataFrame) -> DataFrame:
+    return events if "fnr_hash" in events.columns else read_person_events(events)
+
+
+def _family(events: DataFrame) -> DataFrame:
+    return events if "person_id_a" in events.columns else read_family_events(events)
+
+
 def _status_events(family: DataFrame) -> DataFrame:
     status = F.when(F.col("event_type") == MARRIAGE, MARRIED).otherwise(DIVORCED)
     one = {"event_ts": F.col("event_ts"), "event_type": F.lit(STATUS_EVENT), "civil_status": status}
@@ -81,10 +102,10 @@ def person_registry(person_events: DataFrame, family_events: DataFrame | None =
 
     Without family events every status is the single one.
     """
-    states = person_fields(person_events).filter(F.col("event_type").isin(*STATE_EVENTS))
+    states = _persons(person_events)
     frames = [states.withColumn("civil_status", F.lit(None).cast("string"))]
     if family_events is not None:
-        frames.append(_status_events(family_fields(family_events)))
+        frames.append(_status_events(_family(family_events)))
     timeline = history.union_frames(frames)
     # Equal times are ordered by event type and then by content, so the result is repeatable.
     timeline = timeline.withColumn("__tie", F.xxhash64(*STATE_COLUMNS))
@@ -110,7 +131,7 @@ def family_relations(family_events: DataFrame, max_generations: int = MAX_GENERA
 
     A marriage ends with the first divorce after it; ``divorce_match="all"`` lists it once per divorce of the pair.
     """
-    family = family_fields(family_events)
+    family = _family(family_events)
     open_end, no_depth = F.lit(None).cast("timestamp"), F.lit(None).cast("int")
 
     def relation_id(*parts):
@@ -145,7 +166,7 @@ def family_relations(family_events: DataFrame, max_generations: int = MAX_GENERA
 
 def residence_history(person_events: DataFrame, municipalities: DataFrame | None = None) -> DataFrame:
     """Stays per person; the open stay of a dead person ends on the day of death."""
-    persons = person_fields(person_events)
+    persons = _persons(person_events)
     moves = persons.filter(F.col("event_type").isin(*ADDRESS_EVENTS) & F.col("municipality_code").isNotNull())
     if municipalities is not None:
         moves = prefer_reference(
