@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terrasse.catalogue.base import query, table
-from terrasse.operators import lookup, measures
+from terrasse.operators import lookup, measures, profile
 from terrasse.plans import models
 
 GROUP_SQL = """SELECT c_mktsegment, count(*) AS row_count, round(avg(o_totalprice), 2) AS avg_value, min(o_totalprice) AS min_value,
@@ -197,3 +197,47 @@ def linear_fit(spark, sf):
     UNION ALL SELECT 'n_train', CAST(n AS DOUBLE) FROM m UNION ALL SELECT 'n_test', CAST(n_test AS DOUBLE) FROM s UNION ALL SELECT 'r2', round(1 - res / tot, 4) FROM s""")
 def linear_model(spark, sf):
     return models.linear_model(table(spark, sf, "lineitem"), ["l_quantity", "l_discount"], "l_extendedprice", ["l_orderkey", "l_linenumber"], digits=4)
+
+
+@query("""SELECT o_orderstatus AS k, count(*) AS "count" FROM orders GROUP BY 1""")
+def template_cohort(spark, sf):
+    return profile.analysis(table(spark, sf, "orders"), "cohort", "o_orderstatus").select(F.col("o_orderstatus").alias("k"), "count")
+
+
+@query("""WITH m AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period, count(*) AS n FROM orders WHERE o_orderpriority = '1-URGENT' AND month(o_orderdate) <> 5 GROUP BY 1),
+    s AS (SELECT CAST(unnest(generate_series(min(period), max(period), INTERVAL 1 MONTH)) AS DATE) AS period FROM m) SELECT period, coalesce(n, 0) AS n FROM s LEFT JOIN m USING (period)""")
+def template_series(spark, sf):
+    """Orders a month; the Mays are left out and come back as empty months."""
+    rows = table(spark, sf, "orders").filter((F.col("o_orderpriority") == "1-URGENT") & (F.month("o_orderdate") != 5))
+    return profile.analysis(rows, "timeseries").withColumn("period", F.to_date("period"))
+
+
+@query("""SELECT 'value' AS "column", count(value) AS "count", round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, min(value) AS min, max(value) AS max,
+    round(quantile_cont(value, 0.25), 6) AS q25, round(quantile_cont(value, 0.5), 6) AS q50, round(quantile_cont(value, 0.75), 6) AS q75 FROM events""")
+def template_distribution(spark, sf):
+    return profile.analysis(table(spark, sf, "events"), "distribution")
+
+
+@query("""SELECT 'a' AS "column", round(avg(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) * 100, 1) AS null_rate FROM events
+    UNION ALL SELECT 'b', 0.0 UNION ALL SELECT 'c', 100.0""")
+def template_explore(spark, sf):
+    rows = table(spark, sf, "events").select(F.when(F.col("event_type") != "click", F.col("value")).alias("a"), F.col("event_id").alias("b"), F.lit(None).cast("string").alias("c"))
+    return profile.analysis(rows, "explore")
+
+
+@query("""SELECT 'overview' AS part, CAST(NULL AS DATE) AS period, CAST(NULL AS VARCHAR) AS code, CAST(NULL AS VARCHAR) AS name, count(*) AS n FROM events
+    UNION ALL SELECT 'timeseries', CAST(date_trunc('month', ts) AS DATE), NULL, NULL, count(*) FROM events GROUP BY 2
+    UNION ALL SELECT 'geo', NULL, event_type, 'u' || (user_id % 10), count(*) FROM events GROUP BY 3, 4""")
+def dashboard_parts(spark, sf):
+    rows = table(spark, sf, "events").withColumns({"municipality_code": F.col("event_type"), "municipality_name": F.concat(F.lit("u"), F.col("user_id") % 10)})
+    empty = {"period": F.lit(None).cast("date"), "code": F.lit(None).cast("string"), "name": F.lit(None).cast("string")}
+    parts = [
+        profile.dashboard(rows, "overview").select(F.lit("overview").alias("part"), *[c.alias(n) for n, c in empty.items()], F.col("total_rader").alias("n")),
+        profile.dashboard(rows, "timeseries", "ts").select(F.lit("timeseries").alias("part"), F.to_date("periode").alias("period"), *[empty[n].alias(n) for n in ("code", "name")], F.col("antall").alias("n")),
+        profile.dashboard(rows, "geo").select(F.lit("geo").alias("part"), empty["period"].alias("period"), F.col("municipality_code").alias("code"), F.col("municipality_name").alias("name"), F.col("antall").alias("n"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("SELECT event_type, event_id, value FROM events ORDER BY event_type, event_id LIMIT 1000")
+def dashboard_table(spark, sf):
+    return profile.dashboard(table(spark, sf, "events"), "table", columns=["event_type", "event_id", "value"], order_by=["event_type", "event_id"])

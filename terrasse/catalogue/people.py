@@ -279,7 +279,7 @@ def _pairs(spark, sf):
 
 @query(f"WITH {PAIRS_SQL} SELECT event_id, a, b, valid_from, valid_to, valid_to IS NULL AS is_current FROM m")
 def symmetric_pair_join(spark, sf):
-    return graph.symmetric_pair_join(*_pairs(spark, sf), "a", "b", "valid_from", "valid_from").select(
+    return graph.symmetric_pair_join(*_pairs(spark, sf), "a", "b", "valid_from", "valid_from", "all").select(
         "event_id", "a", "b", "valid_from", "valid_to", "is_current"
     )
 

@@ -10,7 +10,7 @@ from terrasse.catalogue.base import ORACLES, query, table
 from terrasse.operators import governance as G
 from terrasse.operators import search, search_index
 from terrasse.plans import products
-from terrasse.settings import fresh_path
+from terrasse.settings import durable, fresh_path
 from terrasse.sources import snapshots
 
 # Parts read as registry rows: a brand is a product, each of its parts one published version.
@@ -254,3 +254,55 @@ def indexed_search(spark, sf):
     for texts in (draft.unionByName(dropped), docs):
         search_index.update(texts, path, "doc_id", "text")
     return search_index.search(spark, path, "the of", "doc_id")
+
+
+# Documents read as products: the source is the name, the language the domain, the text the description.
+PRODUCT_TEXT_SQL = "source || ' ' || text || ' ' || lang || ' team ' || source || ' text n_chars ' || lang || '_name'"
+
+
+@query(ORACLES["keyword_search"].replace("lower(text)", f"lower({PRODUCT_TEXT_SQL})").replace("SELECT doc_id, round(", "SELECT 'p' || doc_id AS product_id, round(").replace("ORDER BY score DESC, doc_id", "ORDER BY score DESC, product_id")
+       .replace("FROM c, s WHERE a > 0 AND b > 0", ", (SELECT count(*) FROM events WHERE user_id = doc_id) AS views FROM c, s WHERE a > 0 AND b > 0").replace("LIMIT 20", "LIMIT 50"))
+def product_search(spark, sf):
+    """A page of products by an index of their texts, with the views of each."""
+    path = fresh_path(spark, "product-index")
+    products_ = table(spark, sf, "documents").select(
+        F.concat(F.lit("p"), "doc_id").alias("product_id"), F.col("source").alias("name"), F.col("text").alias("description"), F.col("lang").alias("domain"), F.lit("team").alias("owner"),
+        F.array("source").alias("tags"), F.array(F.lit("text"), F.lit("n_chars"), F.concat("lang", F.lit("_name"))).alias("columns"))
+    search_index.update(products_.withColumn("body", search.product_text(products_, search.PRODUCT_FIELDS, search.PRODUCT_LISTS)), path, "product_id", "body")
+    views = table(spark, sf, "events").groupBy(F.concat(F.lit("p"), "user_id").alias("product_id")).agg(F.count(F.lit(1)).alias("views"))
+    return search.product_search(products_, "the of", views, 50, path).select("product_id", "score", "views")
+
+
+@query("""SELECT p_brand AS product_id, 'name of ' || p_brand AS name, CASE WHEN p_brand LIKE '%1' THEN 'odd' ELSE 'even' END AS domain, max(CAST(p_size AS VARCHAR)) FILTER (newest) AS owner,
+      CASE WHEN p_brand NOT LIKE '%2' THEN 30 END AS retention_days, CASE WHEN p_brand NOT LIKE '%2' THEN 'delete' END AS retention_strategy,
+      CAST(2 AS BIGINT) AS pii_columns, 'high' AS sensitivity
+    FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey DESC) = 1 AS newest FROM part) GROUP BY p_brand""")
+def pii_report(spark, sf):
+    """Every part is a version of its brand's manifest; the newest counts."""
+    brand = F.col("p_brand")
+    columns = F.array(*[F.struct(F.lit(n).alias("name"), F.lit("string").alias("type"), F.lit(p).alias("pii"), F.lit(x).cast("string").alias("sensitivity"))
+                        for n, p, x in (("ssn", True, "high"), ("mail", True, "low"), ("n", False, None))])
+    manifest = F.to_json(F.struct(brand.alias("id"), F.when(~brand.endswith("2"), F.struct(F.lit(30).alias("days"))).alias("retention"), columns.alias("schema")))
+    registry = table(spark, sf, "part").select(
+        brand.alias("product_id"), F.when(brand.endswith("1"), "odd").otherwise("even").alias("domain"), F.concat(F.lit("name of "), brand).alias("name"), F.col("p_size").cast("string").alias("owner"),
+        F.lit("1.0.0").alias("version"), F.lit("public").alias("access"), manifest.alias("manifest_json"), F.lpad(F.col("p_partkey").cast("string"), 12, "0").alias("registered_at"))
+    return G.pii_report(registry)
+
+
+@query("""SELECT p_brand AS product_id, 'c' || p_partkey AS name, p_type = 'PROMO' OR p_size > 40 AS pii, CASE WHEN p_size > 40 THEN 'patched' ELSE p_type END AS description FROM part""")
+def patched_columns(spark, sf):
+    declared = table(spark, sf, "part").select(F.col("p_brand").alias("product_id"), F.concat(F.lit("c"), "p_partkey").alias("name"), (F.col("p_type") == "PROMO").alias("pii"), F.col("p_type").alias("description"), "p_size")
+    updates = declared.filter("p_size > 40").select("product_id", "name", F.lit(True).alias("pii"), F.lit("patched").alias("description"))
+    return G.patch_columns(declared, updates, ["pii", "description"]).drop("p_size")
+
+
+@query(f"""WITH {SIDES_SQL}, j AS (SELECT coalesce(o.product_id, n.product_id) AS product_id, coalesce(o.name, n.name) AS name, o.type AS old_type, n.type AS new_type
+      FROM (SELECT * FROM s WHERE is_old) o FULL JOIN (SELECT * FROM s WHERE NOT is_old) n ON o.product_id = n.product_id AND o.name = n.name),
+    b AS (SELECT product_id FROM s GROUP BY 1 HAVING count(DISTINCT is_old) = 2),
+    v AS (SELECT product_id, name, CASE WHEN new_type IS NULL THEN 'removed' WHEN old_type IS NULL THEN 'added' ELSE 'type_changed' END AS violation
+          FROM j WHERE product_id IN (SELECT product_id FROM b) AND old_type IS DISTINCT FROM new_type)
+    SELECT 'BACKWARD' AS mode, * FROM v WHERE violation <> 'added' UNION ALL SELECT 'FORWARD', * FROM v WHERE violation = 'added'""")
+def schema_compat_modes(spark, sf):
+    sides = [durable(x, "sides") for x in _sides(spark, sf)]
+    found = [G.schema_compatibility(*sides, mode).select(F.lit(mode).alias("mode"), "product_id", "name", "violation") for mode in ("BACKWARD", "FORWARD", "NONE")]
+    return reduce(lambda a, b: a.unionByName(b), found)

@@ -8,7 +8,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from terrasse.catalogue.base import AS_OF_SQL, as_of, query, table
-from terrasse.operators import keys, measures, rules
+from terrasse.operators import keys, lookup, measures, rules
 from terrasse.plans import curate, health
 from terrasse.settings import fresh_path
 from terrasse.sinks import merge, writers
@@ -284,3 +284,45 @@ def distinct_users(spark, sf):
     count(l_quantity) AS n_l_quantity, min(l_quantity) AS min_l_quantity, max(l_quantity) AS max_l_quantity FROM lineitem""")
 def footer_values(spark, sf):
     return readers.footer_values(spark, f"{sf}/lineitem.parquet", ["l_orderkey", "l_quantity"])
+
+
+@query("SELECT c_mktsegment AS segment, count(*) AS n FROM customer WHERE c_acctbal > 0 GROUP BY 1")
+def overwritten_table(spark, sf):
+    """A table whose rows and columns are replaced: nothing of the first write stays."""
+    path, rows = fresh_path(spark, "overwritten"), _accounts(spark, sf)
+    writers.overwrite_table(rows, path, ["c_mktsegment"])
+    segments = measures.counts_by(rows.filter("c_acctbal > 0"), ["c_mktsegment"]).withColumnRenamed("c_mktsegment", "segment")
+    return writers.write_then_read(segments, path)
+
+
+@query("""SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period, count(*) AS n, row_number() OVER (ORDER BY date_trunc('month', o_orderdate) DESC) = 1 AS latest FROM orders GROUP BY date_trunc('month', o_orderdate)""")
+def result_history(spark, sf):
+    """Monthly results appended year by year, latest found by time."""
+    path = fresh_path(spark, "results")
+    orders = table(spark, sf, "orders")
+    for early in (True, False):
+        part = orders.filter((F.year("o_orderdate") < 1998) == early)
+        months = measures.monthly_counts(part, "o_orderdate")
+        writers.append_result(months.withColumn("period", F.to_date("period")), path, F.col("period").cast("timestamp"))
+    stored = spark.read.parquet(path)
+    newest = stored.agg(F.max("recorded_at")).scalar()
+    return stored.select("period", "n", (F.col("recorded_at") == newest).alias("latest"))
+
+
+@query("SELECT o_orderstatus, count(*) AS n, (SELECT count(*) FROM orders) AS written FROM orders GROUP BY 1")
+def checked_write(spark, sf):
+    """All orders written in four files by status and read back; the counts must agree."""
+    path = fresh_path(spark, "checked")
+    written = writers.write_checked(writers.sized(table(spark, sf, "orders"), 4, ["o_orderstatus"]), path)
+    return measures.counts_by(spark.read.parquet(path), ["o_orderstatus"]).withColumn("written", F.lit(written).cast("bigint"))
+
+
+@query("""SELECT n_name AS nation, c_custkey FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def json_records(spark, sf):
+    """Documents that are arrays of records, one file per nation and block of customers, read as one table."""
+    path = fresh_path(spark, "json-records")
+    customers = lookup.join_dimension(table(spark, sf, "customer").withColumnRenamed("c_nationkey", "n_nationkey"), table(spark, sf, "nation").select("n_nationkey", "n_name"), ["n_nationkey"])
+    block = F.floor(F.col("c_custkey") / 1000)
+    arrays = customers.groupBy("n_nationkey", block.alias("block")).agg(F.to_json(F.collect_list(F.struct(F.col("n_name").alias("nation"), "c_custkey"))).alias("value"))
+    arrays.write.partitionBy("n_nationkey", "block").text(path)  # a folder, and so a file, for each document
+    return readers.read_json_records(spark, path, "nation string, c_custkey bigint").select("nation", "c_custkey")

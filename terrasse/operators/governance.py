@@ -180,6 +180,18 @@ def pii_map(declared: DataFrame, keys: Sequence[str] = ("product_id",)) -> DataF
     )
 
 
+def pii_report(registry: DataFrame) -> DataFrame:
+    """Per product with personal columns: their number, the highest sensitivity, who answers for it and how long rows are kept."""
+    m = F.from_json("manifest_json", S.MANIFEST)
+    described = latest_products(registry).withColumn("__m", m).select(
+        "product_id", "name", "domain", "owner", "manifest_json", F.col("__m.retention.days").alias("retention_days"),
+        F.when(F.col("__m.retention").isNotNull(), F.coalesce("__m.retention.strategy", F.lit("delete"))).alias("retention_strategy"))
+    keys = [c for c in described.columns if c != "manifest_json"]
+    columns = schema_rows(described.withColumnRenamed("name", "product_name"), [c if c != "name" else "product_name" for c in keys])
+    found = pii_map(columns, [c if c != "name" else "product_name" for c in keys])
+    return found.withColumnRenamed("product_name", "name")
+
+
 def patch_columns(declared: DataFrame, updates: DataFrame, fields: Sequence[str], column: str = "name") -> DataFrame:
     """New schema rows with the updated fields; an update of an unknown column raises ``ValueError``."""
     unknown = updates.join(declared.select("product_id", column), ["product_id", column], "left_anti")

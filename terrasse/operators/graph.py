@@ -21,11 +21,12 @@ def pair_key(a: str, b: str):
 
 
 def symmetric_pair_join(
-    opened: DataFrame, closed: DataFrame, a: str, b: str, opened_at: str, closed_at: str, mode: str = "all"
+    opened: DataFrame, closed: DataFrame, a: str, b: str, opened_at: str, closed_at: str, mode: str = "first_after"
 ) -> DataFrame:
     """Left join where (a, b) meets (a, b) or (b, a).
 
-    ``mode="all"`` keeps every match, ``"first_after"`` only the first close after the open row.
+    Only the first close after the open row counts.  ``mode="all"`` keeps every match, which for a pair that
+    opens m times and closes n times is m x n rows.
     """
     left = opened.withColumn("__pair", pair_key(a, b))
     right = closed.select(pair_key(a, b).alias("__pair"), F.col(closed_at).alias("valid_to")).filter(

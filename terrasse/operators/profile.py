@@ -16,6 +16,7 @@ from terrasse.settings import durable
 # Sizes of previews and samples, and limits of the role rules.
 PREVIEW_ROWS, SAMPLE_VALUES = 100, 4
 CATEGORICAL_MAX, DATE_SHARE = 20, 0.8
+BITS = 32_768
 
 SAMPLE_BUCKETS = 8
 
@@ -106,18 +107,32 @@ def column_roles(df: DataFrame) -> DataFrame:
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     others = [f.name for f in df.schema.fields if f.name not in {*numeric, *dates, *texts} and not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))]
     countable = [*texts, *others]
-    counted = [F.count_distinct(c).alias(f"d{i}") for i, c in enumerate(countable)]
+    few = _few_valued(df, countable)
+    counted = [F.count_distinct(c).alias(f"d{i}") for i, c in enumerate(few)]
     shares = [F.try_divide(F.count_if(F.try_to_timestamp(c).isNotNull()), F.count(c)).alias(f"t{i}") for i, c in enumerate(texts)]
-    measured = df.agg(*counted, *shares) if countable else df.sparkSession.range(1)
+    measured = df.agg(*counted, *shares) if counted or shares else df.sparkSession.range(1)
 
     roles = {c: F.lit("numeric") for c in numeric} | {c: F.lit("date") for c in dates}
     for i, c in enumerate(countable):
-        role = F.when(F.col(f"d{i}") <= CATEGORICAL_MAX, "categorical").otherwise("other")
+        role = F.when(F.col(f"d{few.index(c)}") <= CATEGORICAL_MAX, "categorical").otherwise("other") if c in few else F.lit("other")
         roles[c] = F.when(F.col(f"t{i}") >= DATE_SHARE, "date").otherwise(role) if i < len(texts) else role
     rows = [F.struct(F.lit(c).alias("name"), roles.get(c, F.lit("other")).alias("role")) for c in df.columns]
     return measured.select(F.inline(F.array(*rows)))
 
 
+def _few_valued(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Columns that may have ``CATEGORICAL_MAX`` distinct values or fewer.
+
+    Values are hashed to the 32,768 bits of a bitmap, four kilobytes a column and task whatever it holds.  A column with more
+    bits set has more values; only the others, whose values are few or share bits, are left to be counted exactly.
+    """
+    if not columns:
+        return []
+    bit = [F.bitmap_construct_agg(F.when(F.col(c).isNotNull(), F.pmod(F.xxhash64(c), F.lit(BITS)))) for c in columns]
+    row = df.agg(*[F.bitmap_count(b).alias(f"b{i}") for i, b in enumerate(bit)]).first()
+    return [c for i, c in enumerate(columns) if (row[i] or 0) <= CATEGORICAL_MAX]
+
+
 def chart_data(df: DataFrame, points: bool = False) -> tuple[str, DataFrame] | None:
     """Kind of chart that fits the columns, with its data over all rows: line, bar, scatter, density or histogram.
 

@@ -191,6 +191,8 @@ def population_stats(registry: DataFrame, as_of_year: int, count_deaths: str = "
     A registry built by ``person_registry`` holds one row per person at any time, so its yearly
     rows need no choice between candidates; pass ``disjoint=False`` for other histories.
     """
+    used = ["person_id", *PLACE, "gender", "birth_date", "death_date", "is_alive", "is_current", "change_event_type", "valid_from", "valid_to"]
+    registry = durable(registry.select(*used), "registry")  # read for the yearly rows and for births and deaths
     snapshot = history.year_end_snapshot(
         registry, "person_id", as_of_year, tie_breakers=["change_event_type"], disjoint=disjoint
     )

@@ -62,7 +62,7 @@ def pairs(spark):
 
 def test_pair_join_matches_or_condition(pairs):
     opened, closed = pairs
-    ours = graph.symmetric_pair_join(opened, closed, "a", "b", "t", "t")
+    ours = graph.symmetric_pair_join(opened, closed, "a", "b", "t", "t", "all")
     o, c = opened.alias("o"), closed.alias("c")
     either = ((F.col("o.a") == F.col("c.a")) & (F.col("o.b") == F.col("c.b"))) | ((F.col("o.a") == F.col("c.b")) & (F.col("o.b") == F.col("c.a")))
     naive = o.join(c, either, "left").select("o.id", "c.t")
