@@ -8,6 +8,7 @@ from terrasse.catalogue.base import AS_OF_SQL, USAGE_SQL, as_of, query, table, u
 from terrasse.functions.scalars import days_before, schedule_hours
 from terrasse.operators import distinct, keys
 from terrasse.operators import usage as U
+from terrasse.plans import observability
 
 PRODUCTS_SQL = """products AS (SELECT DISTINCT 'p' || c_nationkey AS product_id, CAST(CASE c_nationkey % 3 WHEN 0 THEN 2 WHEN 1 THEN 25 END AS INTEGER) AS freshness_hours,
     CASE WHEN c_nationkey < 20 THEN 'd' || (c_nationkey % 4) END AS domain FROM customer)"""
@@ -218,3 +219,52 @@ def distinct_trailing(spark, sf):
     """Users of the last seven days, for every day and kind of event, from a bitmap per day."""
     bitmaps = distinct.daily_bitmaps(table(spark, sf, "events"), ["event_type"], "user_id", "ts")
     return distinct.trailing_exact(bitmaps, ["event_type"], 7, F.lit("2024-01-01").cast("date"), as_of().cast("date"))
+
+
+PLATFORM_SQL = f"""{USAGE_SQL}, n AS (SELECT n_nationkey AS k, 'p' || n_nationkey AS product_id, 'd' || n_regionkey AS domain FROM nation),
+  week AS (SELECT * FROM usage WHERE ts >= {AS_OF_SQL} - INTERVAL 7 DAY AND ts < {AS_OF_SQL})"""
+
+
+def _platform(spark, sf):
+    """Registry, freshness results, scores and feedback: a product per nation, published twice, its state by its number."""
+    nation, n = table(spark, sf, "nation"), F.col("n_nationkey")
+    product = F.concat(F.lit("p"), n)
+    slo = F.struct(F.struct((n + 1).alias("freshness_hours")).alias("slo"))
+    manifest = F.to_json(F.struct(product.alias("id"), F.when(n % 5 != 0, slo).alias("contract")))
+
+    def version(at, number):
+        return nation.select(product.alias("product_id"), F.concat(F.lit("d"), "n_regionkey").alias("domain"), F.col("n_name").alias("name"), F.lit("team").alias("owner"), F.lit(number).alias("version"),
+                             F.lit("public").alias("access"), manifest.alias("manifest_json"), at.cast("string").alias("registered_at"))
+
+    registry = version(F.lit("2023-01-01 00:00:00"), "1.0.0").unionByName(version(F.date_sub(as_of().cast("date"), n).cast("timestamp"), "1.1.0"))
+    sla = nation.select(product.alias("product_id"), (as_of() - F.make_dt_interval(hours=n)).alias("checked_at"), (n % 4 != 0).alias("compliant"), n.cast("double").alias("hours_since_update"))
+    scores = nation.select(product.alias("product_id"), as_of().alias("validated_at"), (40.0 + n).alias("score_pct"))
+    feedback = usage(spark, sf).select(F.concat(F.lit(" "), "action").alias("question"), F.when(F.col("value") > 50, "thumbs_up").otherwise("thumbs_down").alias("rating"), "ts")
+    return registry, sla, scores, feedback
+
+
+@query(f"""WITH {PLATFORM_SQL},
+    grown AS (SELECT product_id, count(*) FILTER (ts >= {AS_OF_SQL} - INTERVAL 7 DAY) AS w, count(*) FILTER (ts < {AS_OF_SQL} - INTERVAL 7 DAY) AS b
+              FROM usage WHERE ts >= {AS_OF_SQL} - INTERVAL 14 DAY AND ts < {AS_OF_SQL} GROUP BY 1),
+    up AS (SELECT count(*) AS n FROM grown WHERE w > 0 AND (b = 0 OR round((w - b) / b * 100, 1) > 0))
+    SELECT 'platform_totals' AS section, CAST(1 AS BIGINT) AS entries, CAST((SELECT count(*) FROM n) AS VARCHAR) AS figure
+    UNION ALL SELECT 'active_users', 1, CAST(count(DISTINCT user_id) AS VARCHAR) FROM week
+    UNION ALL SELECT 'health', 1, CAST(count(*) FILTER (k % 4 = 0) + count(*) FILTER (40 + k < 50) AS VARCHAR) FROM n
+    UNION ALL SELECT 'trending_up', least(n, 5), NULL FROM up WHERE n > 0
+    UNION ALL SELECT 'recent_publications', least(count(*), 20), NULL FROM n WHERE k <= 14
+    UNION ALL SELECT 'popular_questions', least(count(DISTINCT action), 5), CAST(max(likes) AS VARCHAR)
+              FROM (SELECT action, count(*) AS likes FROM usage WHERE value > 50 AND ts >= {AS_OF_SQL} - INTERVAL 7 DAY GROUP BY 1)
+    UNION ALL SELECT 'incidents', count(*) FILTER (k % 4 = 0) + count(*) FILTER (40 + k < 50), NULL FROM n""")
+def platform_snapshot(spark, sf):
+    """All sections of the snapshot, each with its number of entries and one figure."""
+    registry, sla, scores, feedback = _platform(spark, sf)
+    rows = observability.platform_snapshot(registry, usage(spark, sf), sla, scores, feedback, as_of())
+    figures = {"platform_totals": "$.products", "active_users": "$.n", "health": "$.active_incidents", "popular_questions": "$.likes"}
+    figure = F.coalesce(*[F.when(F.col("section") == s, F.get_json_object("payload", path).cast("bigint")) for s, path in figures.items()])
+    return rows.groupBy("section").agg(F.count(F.lit(1)).alias("entries"), F.max(figure).cast("string").alias("figure"))
+
+
+@query(f"""WITH {PLATFORM_SQL} SELECT product_id, CASE WHEN k % 5 = 0 THEN 'none' WHEN k % 4 = 0 THEN 'breach' WHEN k / (k + 1) > 0.8 THEN 'warning' ELSE 'ok' END AS contract_status FROM n""")
+def contract_report(spark, sf):
+    registry, sla, _, _ = _platform(spark, sf)
+    return observability.contract_report(registry, sla).select("product_id", "contract_status")
