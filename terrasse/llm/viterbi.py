@@ -136,16 +136,20 @@ class Pieces:
 class Stream:
     """Viterbi over one text that arrives in parts.
 
-    Holds the scores of boundaries that a piece can still start from and the back pointers since
-    the last committed boundary.
+    A boundary is open while a piece may still start from it: the last one, and those at most a piece's length back from which
+    the text so far is the beginning of a piece.  Only open boundaries keep scores.  The others are nodes of the tree of back
+    pointers; one that no path leads through any more goes, and with it those that led to it alone.  The root is the last committed
+    boundary: while it is not open and has one child, all surviving paths run through that child, and its id is certain.  Every boundary
+    enters and leaves once, so the work is linear in the text, whether paths meet or, as in a long run of one character, do not.
     """
 
     def __init__(self, pieces: Pieces, start: bool = True):
         self.p = pieces
         self.end = self.base = 0
-        self.check = pieces.reach  # where convergence is looked for next
-        self.best = {0: 0}
+        self.best = {0: 0}  # open boundaries
         self.back: dict[int, tuple[int, int]] = {}  # boundary -> (boundary before, id or -1 - code point)
+        self.children = {0: 0}
+        self.child_sum = {0: 0}  # of their positions, so that an only child is known
         self.alive: list[tuple[int, int]] = []  # (start, trie state) of pieces that may still grow
         self.start = start
 
@@ -154,63 +158,66 @@ class Stream:
         if self.start:
             text, self.start = " " + text, False
         p, step, piece, width, scores = self.p, self.p.step, self.p.piece, self.p.width, self.p.scores
+        best, back, children, child_sum = self.best, self.back, self.children, self.child_sum
         for c in text:
             code = ord(c)
             kind = int(p.classes[code])
             end = self.end + 1
-            alive, top, link = [], NEVER, None
+            alive, shut, top, link = [], [], NEVER, None
             for start, state in [*self.alive, (self.end, 0)]:
                 state = step.get(state * width + kind, -1) if kind else -1
-                if state < 0:
-                    continue
-                if p.inner[state]:
-                    alive.append((start, state))
-                found = piece[state]
-                if found >= 0 and self.best[start] + scores[found] > top:
-                    top, link = self.best[start] + scores[found], (start, int(found))
+                if state >= 0:
+                    found = piece[state]
+                    if found >= 0 and best[start] + scores[found] > top:
+                        top, link = best[start] + scores[found], (start, int(found))
+                    if p.inner[state]:
+                        alive.append((start, state))
+                        continue
+                shut.append(start)
             single = step.get(kind, -1) if kind else -1
             if single < 0 or piece[single] < 0:
-                value = self.best[self.end] + p.lowest * len(c.encode())
+                value = best[self.end] + p.lowest * len(c.encode())
                 if value > top:
                     top, link = value, (self.end, -1 - code)
-            self.best[end], self.back[end], self.alive, self.end = top, link, alive, end
-            if not alive:
-                yield from self._commit(end)
-            elif end >= self.check:
-                self.check = end + p.reach
-                yield from self._converge()
+            best[end], back[end], self.alive, self.end = top, link, alive, end
+            children[end] = child_sum[end] = 0
+            children[link[0]] += 1
+            child_sum[link[0]] += end
+            for at in shut:
+                del best[at]
+                while not children[at] and at not in best and at != self.base:
+                    before = back.pop(at)[0]
+                    del children[at], child_sum[at]
+                    children[before] -= 1
+                    child_sum[before] -= at
+                    at = before
+            if shut and children[self.base] == 1 and self.base not in best:
+                yield from self._commit()
 
     def finish(self) -> Iterator[int]:
-        yield from self._commit(self.end)
-
-    def _converge(self) -> Iterator[int]:
-        """Commit up to the last boundary that all surviving paths share."""
-        low = min(start for start, _ in self.alive)
-        for at in [k for k in self.best if k < low]:
-            del self.best[at]
-        common = None
-        for at in {self.end, *(start for start, _ in self.alive)}:
-            path = {at}
-            while at > self.base:
-                at = self.back[at][0]
-                path.add(at)
-            common = path if common is None else common & path
-        yield from self._commit(max(common), keep=True)
-
-    def _commit(self, to: int, keep: bool = False) -> Iterator[int]:
-        ids, at = [], to
+        """The rest, along the best path to the end."""
+        ids, at = [], self.end
         while at > self.base:
             at, found = self.back[at]
             ids.append(found)
         for found in reversed(ids):
-            if found >= 0:
-                yield found
-            else:
-                yield from (self.p.byte_ids[b] for b in chr(-1 - found).encode())
-        self.base = to
-        self.back = {k: v for k, v in self.back.items() if k > to}
-        if not keep:
-            self.best = {to: self.best[to]}
+            yield from self._said(found)
+        self.base, self.alive = self.end, []
+        self.best, self.back, self.children, self.child_sum = {self.end: self.best[self.end]}, {}, {self.end: 0}, {self.end: 0}
+
+    def _commit(self) -> Iterator[int]:
+        """Move the root along while it has one child that every path runs through."""
+        while self.children[self.base] == 1 and self.base not in self.best:
+            child = self.child_sum.pop(self.base)
+            del self.children[self.base]
+            self.base = child
+            yield from self._said(self.back.pop(child)[1])
+
+    def _said(self, found: int) -> Iterator[int]:
+        if found >= 0:
+            yield found
+        else:
+            yield from (self.p.byte_ids[b] for b in chr(-1 - found).encode())
 
 
 class Encoder:
