@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from terrasse.llm.words import rolling, slices, split_words, windows
 
 MIN_MATCH, COVERAGE, BLOCK_TOKENS = 4, 0.5, 1 << 20
+BREAK = np.uint64(0)  # no token has this hash, see `tokens`
 
 
 def _bare(word: bytes) -> bytes:
@@ -43,7 +44,7 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     words = split_words(texts)
     bare = [_bare(w) for w in words.vocab]
     real = np.array([bool(b) for b in bare], bool)[words.ids] if bare else np.zeros(0, bool)
-    table = np.fromiter((xxhash.xxh64_intdigest(b) for b in bare), np.uint64, len(bare))
+    table = np.fromiter((xxhash.xxh64_intdigest(b) or 1 for b in bare), np.uint64, len(bare))
     starts = np.concatenate(([0], np.cumsum(real)))[words.starts]
     return starts, table[words.ids[real]]
 
@@ -97,9 +98,57 @@ def greedy_tiles(a: np.ndarray, b: np.ndarray, size: int = MIN_MATCH) -> list[tu
         search = max(size, search // 2)
 
 
+PERIODS = 16
+
+
+def _covered(at: np.ndarray, size: int, n: int) -> np.ndarray:
+    """Which of ``n`` places the windows of ``size`` from ``at`` on cover."""
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, at, 1)
+    np.add.at(edge, at + size, -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
+def _cut(b: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """``b`` with each stretch of tokens that are gone replaced by one token of no item."""
+    first = gone & ~np.concatenate(([False], gone[:-1]))
+    return np.where(first, BREAK, b)[~gone | first]
+
+
+def essential(a: np.ndarray, b: np.ndarray, size: int = MIN_MATCH) -> np.ndarray:
+    """A text ``b`` as short as the greedy search for tiles with ``a`` allows, with the same tiles in the same order.
+
+    Tokens in no window that ``a`` has too are in no match: a stretch of them becomes one break.  Where a text repeats with a period
+    of up to ``PERIODS`` tokens, a match is found as well a period earlier, and the search takes the earliest; all tiles together
+    are no longer than ``a``.  So of a long repetition only the beginning is of use, and the end, which matches may leave.
+    Junk of one word a million times is then no more work than a page of it.
+    """
+    at = windows(np.array([0, len(b)]), size)
+    if not len(at) or len(a) < size:
+        return b[:0]
+    shared = np.isin(rolling(b, at, size), rolling(a, windows(np.array([0, len(a)]), size), size))
+    b = _cut(b, ~_covered(at[shared], size, len(b)))
+    for period in range(1, PERIODS + 1):
+        keep = len(a) * (4 + period) + 2 * period
+        if len(b) <= 2 * keep + period:
+            break
+        same = np.concatenate(([0], (b[period:] == b[:-period]).astype(np.int8), [0]))
+        rise = np.diff(same)
+        gone = np.zeros(len(b), bool)
+        for x, y in zip(np.flatnonzero(rise == 1), np.flatnonzero(rise == -1) + period, strict=True):
+            if y - x > 2 * keep + period:
+                gone[x + keep : y - keep] = True
+        if gone.any():
+            b = _cut(b, gone)
+    return b
+
+
 @dataclass
 class Items:
-    """A block of benchmark items and its seeds, sorted by hash."""
+    """A block of benchmark items and its seeds, sorted by hash.
+
+    Items of fewer than ``size`` tokens have no seed; they are in ``short`` and have to be found whole.
+    """
 
     ids: list
     tokens: list[np.ndarray]
@@ -107,6 +156,7 @@ class Items:
     item: np.ndarray
     at: np.ndarray
     size: int
+    short: dict[int, list[int]]  # number of tokens -> items
 
     @classmethod
     def of(cls, ids: list, texts: list, size: int) -> Items:
@@ -115,38 +165,52 @@ class Items:
         row = np.searchsorted(starts, at, "right") - 1
         seeds = rolling(h, at, size)
         order = np.argsort(seeds, kind="stable")
-        return cls(ids, [h[x:y] for x, y in zip(starts[:-1], starts[1:], strict=True)], seeds[order], row[order], (at - starts[row])[order], size)
+        items = [h[x:y] for x, y in zip(starts[:-1], starts[1:], strict=True)]
+        short: dict[int, list[int]] = {}
+        for i, t in enumerate(items):
+            if 0 < len(t) < size:
+                short.setdefault(len(t), []).append(i)
+        return cls(ids, items, seeds[order], row[order], (at - starts[row])[order], size, short)
+
+    def whole_in(self, starts: np.ndarray, h: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """Short items that stand in a row as they are."""
+        out = []
+        for n, items in self.short.items():
+            at = windows(starts, n)
+            grams = np.stack([h[at + k] for k in range(n)], axis=1) if len(at) else np.empty((0, n), np.uint64)
+            for i in items:
+                hit = at[(grams == self.tokens[i]).all(axis=1)]
+                out += [(int(r), i, n, 1, n) for r in np.unique(np.searchsorted(starts, hit, "right") - 1)]
+        return out
 
     def found_in(self, texts: pa.Array, coverage: float) -> list[tuple[int, int, int, int, int]]:
         """``(row, item, covered tokens, tiles, longest tile)`` of all pairs that reach the coverage."""
         starts, h = tokens(texts)
-        at = windows(starts, self.size)
+        out, at = self.whole_in(starts, h), windows(starts, self.size)
         if not len(at) or not len(self.seeds):
-            return []
+            return out
         probe = rolling(h, at, self.size)
         rough = np.zeros(1 << 22, bool)
         rough[(self.seeds & np.uint64(len(rough) - 1)).astype(np.int64)] = True
         some = np.flatnonzero(rough[(probe & np.uint64(len(rough) - 1)).astype(np.int64)])
-        probe, at = probe[some], at[some]
+        # What repeats within a row is looked up once: only what it covers of an item counts here.
+        once = np.unique(np.stack((np.searchsorted(starts, at[some], "right").astype(np.uint64) - np.uint64(1), probe[some])), axis=1)
+        of, probe = once[0].astype(np.int64), once[1]
         low, high = np.searchsorted(self.seeds, probe, "left"), np.searchsorted(self.seeds, probe, "right")
         n = high - low
         if not n.sum():
-            return []
+            return out
         place = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
-        row = np.repeat(np.searchsorted(starts, at, "right") - 1, n)
+        row = np.repeat(of, n)
         # Tiles lie within shared seeds, so the item tokens that shared seeds cover bound the coverage.
         triple = np.unique(np.stack((row, self.item[place], self.at[place])), axis=1)
-        out = []
         pair = np.flatnonzero(np.concatenate(([True], (np.diff(triple[0]) != 0) | (np.diff(triple[1]) != 0))))
         for x, y in zip(pair, np.append(pair[1:], triple.shape[1]), strict=True):
             r, item = int(triple[0, x]), int(triple[1, x])
             a = self.tokens[item]
-            most = np.zeros(len(a) + 1, np.int64)
-            np.add.at(most, triple[2, x:y], 1)
-            np.add.at(most, triple[2, x:y] + self.size, -1)
-            if (np.cumsum(most[:-1]) > 0).sum() < coverage * len(a):
+            if _covered(triple[2, x:y], self.size, len(a)).sum() < coverage * len(a):
                 continue
-            tiles = greedy_tiles(a, h[starts[r] : starts[r + 1]], self.size)
+            tiles = greedy_tiles(a, essential(a, h[starts[r] : starts[r + 1]], self.size), self.size)
             covered = sum(t[0] for t in tiles)
             if covered >= coverage * len(a):
                 out.append((r, item, covered, len(tiles), max(t[0] for t in tiles)))
@@ -154,7 +218,7 @@ class Items:
 
 
 def benchmark_blocks(benchmark: DataFrame, size: int = MIN_MATCH, key: str = "item_id", text: str = "text", limit: int = BLOCK_TOKENS) -> Iterator[Items]:
-    """All items, some at a time; null texts and items of fewer than ``size`` tokens have no seeds and are never found."""
+    """All items, some at a time; items without a token, such as null texts, are never found."""
     ids, texts, held = [], [], 0
     for row in benchmark.select(F.col(key).cast("long"), F.col(text)).toLocalIterator():
         ids.append(row[0])

@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pyarrow as pa
 from edge_cases import edge, nothing, prose, rows_to_docs  # noqa: F401
@@ -30,7 +32,7 @@ def brute_tiles(a, b, size):
 def test_tiles_match_brute_force(a, b, size):
     """Few letters, so that ties and overlaps abound: tile lengths are those of the exhaustive greedy search."""
     got = t.greedy_tiles(np.array(a, np.uint64), np.array(b, np.uint64), size)
-    assert [x[0] for x in got] == sorted((x[0] for x in got), reverse=True) or True
+    assert got == brute_tiles(a, b, size)
     used_a, used_b = set(), set()
     for k, i, j in got:
         assert a[i : i + k] == b[j : j + k] and k >= size
@@ -43,6 +45,25 @@ def test_tiles_match_brute_force(a, b, size):
     assert max((x[0] for x in got), default=0) == max((x[0] for x in want), default=0)
 
 
+@given(st.lists(st.integers(1, 3), min_size=2, max_size=9), st.lists(st.tuples(st.lists(st.integers(1, 5), min_size=1, max_size=4), st.integers(1, 90)), max_size=4), st.integers(2, 4))
+@settings(max_examples=150, deadline=None)
+def test_essential_texts_give_the_same_tiles(a, runs, size):
+    """Texts of long repetitions, shortened or not: the same lengths of tiles at the same places of the item."""
+    b = [x for part, times in runs for x in part * times]
+    a, b = np.array(a, np.uint64), np.array(b, np.uint64)
+    short = t.essential(a, b, size)
+    assert len(short) <= len(b) and [x[:2] for x in t.greedy_tiles(a, short, size)] == [x[:2] for x in t.greedy_tiles(a, b, size)]
+
+
+def test_a_megabyte_of_one_word_takes_seconds(spark):
+    bench = spark.createDataFrame([(1, "same " * 300), (2, "one two " * 100), (3, prose(50, 40)), (4, "tiny item"), (5, "x")], "item_id long, text string")
+    docs = [(1, "same " * 200_000), (2, "one two " * 125_000), (3, "a" * 1_000_000), (4, " " * 1_000_000), (5, "same " * 100_000 + prose(50, 40) + " other" * 100_000), (6, "a tiny Item."), (7, "tiny other item")]
+    began = time.time()
+    got = {(r["doc_id"], r["item_id"]): r for r in t.contaminated(rows_to_docs(spark, docs), bench).collect()}
+    assert set(got) == {(1, 1), (5, 1), (2, 2), (5, 3), (6, 4)} and got[6, 4]["coverage"] == 1.0 and got[1, 1]["n_tiles"] == 1
+    assert time.time() - began < 60
+
+
 def test_distinct_words_give_the_exhaustive_tiling():
     rng = np.random.default_rng(2)
     for _ in range(30):
