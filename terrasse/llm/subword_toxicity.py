@@ -5,9 +5,15 @@ A word's vector is the mean of its parts, a text's the mean of its words, and a
 over two classes reads the text's vector.  Table and softmax are trained together, so a misspelled
 or inflected word that was never seen shares most of its vectors with the words it resembles.
 
-Training takes at most ``SAMPLE`` labelled documents (the documented bound of the fit), reduced to
-parts and weights on the executors.  Scoring needs one number per part, because the model is
-linear in the average; it covers every whole text.
+Most parts say nothing about toxicity, and a rare one seems to say much by chance.  So each part is put on the scale
+of its own spread over the training documents, and a penalty on the length of its vector lets it have one only if
+it moves the labels by more than ``Z`` standard errors: a rare part needs documents that agree, a frequent one many, and no part
+is too rare to be looked at.
+
+Training takes at most ``SAMPLE`` labelled documents (the documented bound of the fit), one text for each id, reduced to
+parts and weights on the executors.  Parts that by themselves move the labels by less than ``Z / 2`` standard errors are left
+out there: what the others explain could bring them over the penalty only if it were as much again.  Scoring needs one
+number per part, because the model is linear in the average; it covers every whole text.
 """
 
 from __future__ import annotations
@@ -24,12 +30,11 @@ from terrasse.llm.words import mix, rolling, runs_of, slices, split_words, windo
 from terrasse.settings import durable
 
 SIZES, BUCKETS, WIDTH = (3, 4, 5, 6), 1 << 18, 8
-SAMPLE, EPOCHS, BATCH, RATE, SPARSITY, SEED = 8_000, 6, 64, 0.02, 1.5, 7
+SAMPLE, ROUNDS, Z, SEED = 8_000, 80, 3.0, 7
+HOLDERS = 3  # documents that must hold a part; of two nothing can be told
 PAD = 20  # neutral words in every average, so that the few words of a short text do not weigh too much
-SEEN = 0.02  # share of the training documents that must hold a part before it gets a vector
-TUNED_ON = 5  # every fifth training document sets the point where the score passes 0.5 and nothing else
+TUNED_ON = 5  # every fifth training document, by a hash, sets the point where the score passes 0.5 and nothing else
 SLICE_BYTES = 1 << 20  # the parts of the words of a slice take some hundred bytes for each byte of text
-GAIN = 64.0  # texts are averages of many words; the softmax reads this multiple of them
 
 
 def word_parts(vocab: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -73,62 +78,84 @@ class Model:
 
     def part_scores(self) -> tuple[np.ndarray, float]:
         """What each bucket adds to the log odds of class 1, and the constant."""
-        return GAIN * (self.table @ (self.softmax[:, 1] - self.softmax[:, 0])), float(self.bias[1] - self.bias[0])
-
-
-class _Adam:
-    """Adam over the rows that a step touches."""
-
-    def __init__(self, shape: tuple[int, ...]):
-        self.m, self.v = np.zeros(shape, np.float32), np.zeros(shape, np.float32)
-
-    def step(self, value: np.ndarray, grad: np.ndarray, t: int, rate: float, rows: np.ndarray | slice = slice(None)) -> None:
-        self.m[rows] = 0.9 * self.m[rows] + 0.1 * grad
-        self.v[rows] = 0.999 * self.v[rows] + 0.001 * grad * grad
-        value[rows] -= rate * (self.m[rows] / (1 - 0.9**t)) / (np.sqrt(self.v[rows] / (1 - 0.999**t)) + 1e-8)
+        return self.table @ (self.softmax[:, 1] - self.softmax[:, 0]), float(self.bias[1] - self.bias[0])
 
 
 Bag = list[tuple[np.ndarray, np.ndarray]]
 
 
-def train(bag: Bag, label: np.ndarray, epochs: int = EPOCHS, rate: float = RATE, sparsity: float = SPARSITY) -> Model:
-    """Cross-entropy by mini-batches, with a penalty on the length of each part's vector.
-
-    The penalty leaves vectors at zero unless a part helps again and again, which keeps rare
-    parts from learning single documents by heart.  The same rows in the same order give the same model.
+@dataclass
+class Texts:
+    """Training texts as one list of parts: part ``part[i]`` of text ``text[i]`` weighs ``weight[i]``."""
+
+    text: np.ndarray
+    part: np.ndarray
+    weight: np.ndarray
+    n: int
+    parts: int
+
+    def means(self, vectors: np.ndarray) -> np.ndarray:
+        return np.stack([np.bincount(self.text, self.weight * vectors[self.part, k], minlength=self.n) for k in range(vectors.shape[1])], axis=1)
+
+    def pull(self, error: np.ndarray) -> np.ndarray:
+        """Sum over the texts of their errors, for each part by its weight."""
+        return np.bincount(self.part, self.weight * error[self.text], minlength=self.parts)
+
+    def spread(self) -> float:
+        """The largest eigenvalue of the weights' square, by powers."""
+        v = np.random.default_rng(SEED).normal(size=self.parts)
+        size = 0.0
+        for _ in range(10):
+            v = self.pull(self.means(v[:, None])[:, 0])
+            size = float(np.linalg.norm(v))
+            v /= size or 1.0
+        return size
+
+
+def gradients(texts: Texts, label: np.ndarray, vectors: np.ndarray, softmax: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the summed cross-entropy, for vectors, softmax and bias."""
+    mean = texts.means(vectors)
+    logit = mean @ softmax + bias
+    prob = np.exp(logit - logit.max(axis=1, keepdims=True))
+    prob /= prob.sum(axis=1, keepdims=True)
+    prob[np.arange(texts.n), label] -= 1
+    # Two classes: the errors are opposite, so one pull serves all dimensions.
+    return np.outer(texts.pull(prob[:, 1]), softmax[:, 1] - softmax[:, 0]), mean.T @ prob, prob.sum(axis=0)
+
+
+def train(bag: Bag, label: np.ndarray, rounds: int = ROUNDS, z: float = Z) -> Model:
+    """Vectors, softmax and bias together, by proximal gradient steps over all rows; vectors with momentum.
+
+    Each part's weights are divided by their root sum of squares, so the penalty is the same number of standard errors for all.
+    It is taken times the softmax's length, so that a longer softmax cannot evade it.  The same rows give the same model.
     """
     random = np.random.default_rng(SEED)
     table = np.zeros((BUCKETS, WIDTH), np.float32)
-    model = Model(table, random.uniform(-1, 1, (WIDTH, 2)).astype(np.float32), np.zeros(2, np.float32))
-    steps, t = [_Adam(table.shape), _Adam(model.softmax.shape), _Adam(model.bias.shape)], 0
-    for epoch in range(epochs):
-        lr = rate * (1 - epoch / epochs)
-        order = random.permutation(len(bag))
-        for a in range(0, len(order), BATCH):
-            rows = order[a : a + BATCH]
-            sizes = np.array([len(bag[i][0]) for i in rows])
-            if not sizes.sum():
-                continue
-            bucket = np.concatenate([bag[i][0] for i in rows])
-            weight = (GAIN * np.concatenate([bag[i][1] for i in rows])).astype(np.float32)
-            used, place = np.unique(bucket, return_inverse=True)
-            own = np.repeat(np.arange(len(rows)), sizes)
-            part = table[used]
-            text = np.stack([np.bincount(own, part[place, k] * weight, minlength=len(rows)) for k in range(WIDTH)], axis=1).astype(np.float32)
-            logit = text @ model.softmax + model.bias
-            prob = np.exp(logit - logit.max(axis=1, keepdims=True))
-            prob /= prob.sum(axis=1, keepdims=True)
-            prob[np.arange(len(rows)), label[rows]] -= 1
-            prob /= len(rows)
-            back = prob @ model.softmax.T
-            grad = np.stack([np.bincount(place, back[own, k] * weight, minlength=len(used)) for k in range(WIDTH)], axis=1).astype(np.float32)
-            t += 1
-            steps[0].step(table, grad, t, lr, used)
-            length = np.sqrt((table[used] ** 2).sum(axis=1, keepdims=True))
-            table[used] *= np.maximum(0, 1 - lr * sparsity / np.maximum(length, 1e-12))
-            steps[1].step(model.softmax, text.T @ prob, t, lr)
-            steps[2].step(model.bias, prob.sum(axis=0), t, lr)
-    return model
+    softmax, share = random.uniform(-1, 1, (WIDTH, 2)), float(np.clip(label.mean(), 1e-3, 1 - 1e-3))
+    bias = np.array([0.0, np.log(share / (1 - share))])
+    sizes = np.array([len(b) for b, _ in bag])
+    if not sizes.sum():
+        return Model(table, softmax.astype(np.float32), bias.astype(np.float32))
+    used, part = np.unique(np.concatenate([b for b, _ in bag]), return_inverse=True)
+    weight = np.concatenate([w for _, w in bag]).astype(np.float64)
+    scale = 1 / np.sqrt(np.bincount(part, weight**2))
+    texts = Texts(np.repeat(np.arange(len(bag)), sizes), part, weight * scale[part], len(bag), len(used))
+    least, steepest = z * np.sqrt(share * (1 - share)), texts.spread() / 4
+    vectors = ahead = np.zeros((len(used), WIDTH))
+    pace = 1.0
+    for _ in range(rounds):
+        long = np.linalg.norm(softmax[:, 1] - softmax[:, 0])
+        step = 1 / (steepest * long**2)
+        down, turn, shift = gradients(texts, label, ahead, softmax, bias)
+        moved = ahead - step * down
+        length = np.sqrt((moved**2).sum(axis=1, keepdims=True))
+        moved *= np.maximum(0, 1 - step * least * long / np.maximum(length, 1e-30))
+        softmax -= turn / (texts.n / 4 + (texts.means(ahead) ** 2).sum())
+        bias -= 2 * shift / texts.n
+        faster = (1 + np.sqrt(1 + 4 * pace**2)) / 2
+        ahead, vectors, pace = moved + (pace - 1) / faster * (moved - vectors), moved, faster
+    table[used] = vectors * scale[:, None]
+    return Model(table, softmax.astype(np.float32), bias.astype(np.float32))
 
 
 def log_odds(model: Model, bag: Bag) -> np.ndarray:
@@ -148,57 +175,62 @@ def balance(odds: np.ndarray, label: np.ndarray) -> float:
     return float((odds[order[best]] + after) / 2)
 
 
-def fit(bag: Bag, label: np.ndarray) -> Model:
-    """Train on most rows and move the bias so that the rest is judged best at 0.5; no rows give a model that scores 0.5."""
+def fit(bag: Bag, label: np.ndarray, tune: np.ndarray) -> Model:
+    """Train on the rows that ``tune`` does not mark and move the bias so that those it marks are judged best at 0.5; no rows give a model that scores 0.5."""
     if not bag:
         return Model(np.zeros((BUCKETS, WIDTH), np.float32), np.zeros((WIDTH, 2), np.float32), np.zeros(2, np.float32))
-    tune = np.arange(len(bag)) % TUNED_ON == 0
-    mine = np.flatnonzero(~tune) if len(bag) >= 2 * TUNED_ON else np.arange(len(bag))
+    mine, rest = (np.flatnonzero(~tune), np.flatnonzero(tune)) if 0 < tune.sum() < len(bag) else (np.arange(len(bag)),) * 2
     model = train([bag[i] for i in mine], label[mine])
-    rest = np.flatnonzero(tune)
     model.bias[1] -= balance(log_odds(model, [bag[i] for i in rest]), label[rest])
     return model
 
 
 def _sample(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str, size: int) -> DataFrame:
-    """At most ``size`` labelled documents, those with the smallest hash of their id, in that order."""
+    """At most ``size`` labelled documents, those with the smallest hash of their id; of rows of one id the smallest text."""
     order = F.xxhash64(F.col("doc_id"))
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).cast("long").alias("doc_id")).agg(F.max(F.col(label).cast("int")).alias("label"))
     known = F.broadcast(known.orderBy(order, "doc_id").limit(size))  # at most ``size`` rows of two numbers
     picked = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return picked.join(known, "doc_id").select("doc_id", "text", "label", order.alias("place"))
+    rows = picked.join(known, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    return rows.select("doc_id", "text", "label", order.alias("place"), (F.pmod(order, F.lit(TUNED_ON)) == 0).alias("tune"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text", size: int = SAMPLE) -> Model:
-    """A model from labelled rows.  Parts that too few of them hold are left out before anything meets the driver."""
+    """A model from labelled rows.  Parts that tell nothing are left out before anything meets the driver."""
     spark = docs.sparkSession
     rows = durable(_sample(docs, labels, label, key, text, size), "toxicity-sample")
-    total = rows.count()
 
-    def holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(BUCKETS, np.int64)
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per part the number of documents, and the sums of its weights, of their squares, and of those of class 1."""
+        sums = np.zeros((4, BUCKETS))
         for part in slices(batches, limit=SLICE_BYTES):
-            for bucket, _ in bags(part.column("text")):
-                seen[bucket] += 1
-        held = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(seen[held])], names=["bucket", "n"])
-
-    often = rows.select("text").mapInArrow(holders, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= max(2, SEEN * total))
+            for (bucket, weight), y in zip(bags(part.column("text")), part.column("label").to_pylist(), strict=True):
+                sums[:, bucket] += np.stack((np.ones(len(weight)), weight, weight**2, weight * y))
+        held = np.flatnonzero(sums[0])
+        yield pa.RecordBatch.from_arrays([pa.array(held), *map(pa.array, sums[:, held])], names=["bucket", "n", "w", "w2", "wy"])
+
+    learned = rows.where("NOT tune")
+    sums = learned.select("text", "label").mapInArrow(told, "bucket bigint, n double, w double, w2 double, wy double")
+    sums = sums.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("n", "w", "w2", "wy")])
+    share = learned.agg(F.avg("label").alias("share")).scalar()
+    moved = F.abs(F.col("wy") - F.col("share") * F.col("w")) / F.sqrt(F.col("w2") * F.col("share") * (1 - F.col("share")))
+    telling = sums.withColumn("share", share).where((F.col("n") >= HOLDERS) & (F.col("share") > 0) & (F.col("share") < 1)).where(moved > Z / 2)
     wanted = np.zeros(BUCKETS, bool)
-    wanted[often.select("bucket").toPandas()["bucket"].to_numpy(dtype=np.int64)] = True
+    wanted[telling.select("bucket").toPandas()["bucket"].to_numpy(dtype=np.int64)] = True  # at most one number for each bucket
     wanted = spark.sparkContext.broadcast(wanted)
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, limit=SLICE_BYTES):
             kept = [(b[wanted.value[b]], w[wanted.value[b]]) for b, w in bags(part.column("text"))]
             yield pa.RecordBatch.from_arrays(
-                [part.column("place"), part.column("doc_id"), part.column("label"), pa.array([b.astype("<i4").tobytes() for b, _ in kept], pa.binary()),
+                [part.column("place"), part.column("doc_id"), part.column("label"), part.column("tune"), pa.array([b.astype("<i4").tobytes() for b, _ in kept], pa.binary()),
                  pa.array([w.astype("<f4").tobytes() for _, w in kept], pa.binary())],
-                names=["place", "doc_id", "label", "buckets", "weights"])
+                names=["place", "doc_id", "label", "tune", "buckets", "weights"])
 
-    small = rows.mapInArrow(reduce, "place bigint, doc_id bigint, label int, buckets binary, weights binary")
-    found = sorted(((r[0], r[1], r[2], np.frombuffer(r[3], "<i4"), np.frombuffer(r[4], "<f4")) for r in small.toLocalIterator()), key=lambda r: r[:3])
-    return fit([(r[3], r[4]) for r in found], np.array([r[2] for r in found], np.int64))
+    small = rows.mapInArrow(reduce, "place bigint, doc_id bigint, label int, tune boolean, buckets binary, weights binary")
+    found = sorted((tuple(r) for r in small.toLocalIterator()), key=lambda r: r[:2])  # at most ``size`` rows, one for each id
+    bag = [(np.frombuffer(r[4], "<i4"), np.frombuffer(r[5], "<f4")) for r in found]
+    return fit(bag, np.array([r[2] for r in found], np.int64), np.array([r[3] for r in found], bool))
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
