@@ -1,12 +1,14 @@
 """Shards of near-equal bytes by sampled splitters.
 
 Records are keyed by their text, so equal texts lie side by side.  A sample drawn in proportion
-to size gives quantile splitters, records are range-partitioned by them, and ranges that turn out
-overfull are subdivided by a sample of their own.  What is known per range (a bounded table) then
+to load gives quantile splitters, records are range-partitioned by them, and ranges that turn out
+overfull are subdivided by samples of their own until none is.  A record's load is its size and the mean size of all, so that a
+range is bounded in bytes and in rows, however many empty texts there are.  The number of ranges follows the number of
+rows.  What is known per range (a table of so many rows) then
 fixes the shard borders; only a window inside one range is needed to number the records.
 
-Groups of equal texts stay whole: a small group goes where it starts, a large one is placed
-as a whole while it fits a shard.  A group too large for that is cut record by record.
+Groups of equal texts stay whole: a small group goes where it starts, a large one, in bytes or in rows, is placed
+as a whole while it fits a shard; its records may lie in many ranges.  A group too large for a shard is cut record by record.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 from terrasse.settings import durable
 
 SHARDS, RANGES, DRAWS = 8, 256, 32
+RANGE_ROWS, ROUNDS = 200_000, 60  # rows of a range on average, from ``RANGES`` ranges on; rounds of subdividing before it is given up
 LARGE = 100  # a group is large from 1 / LARGE of a shard on; there are at most SHARDS * LARGE of them
 TOP = (1 << 63) - 1
 
@@ -34,10 +37,14 @@ def keyed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     return durable(rows.withColumn("k", F.xxhash64("doc_id", "row")), "shard-keys")
 
 
+def _load(mean: float) -> Column:
+    return F.col("size") + F.lit(max(1, round(mean)))
+
+
 def _draw(rows: DataFrame, draws: int, total: int, salt: int) -> pd.DataFrame:
-    """About ``draws`` keys, each record as often as its share of ``total`` bytes calls for."""
+    """About ``draws`` keys, each record as often as its share of the ``total`` load calls for."""
     chance = (F.pmod(F.xxhash64("k", F.lit(salt)), F.lit(1 << 30)) / float(1 << 30))
-    times = F.floor(F.col("size") * (draws / total) + chance).cast("long")
+    times = F.floor(F.col("load") * (draws / total) + chance).cast("long")
     picked = rows.select("g", "k", times.alias("n")).where("n > 0").toPandas()
     return picked.sort_values(["g", "k"], ignore_index=True)
 
@@ -76,37 +83,39 @@ class Plan:
     borders: list[int]  # stream bytes at which the next shard begins
 
 
-def plan_ranges(rows: DataFrame, shards: int, ranges: int, rounds: int = 12) -> Plan:
-    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    if not total:
+def plan_ranges(rows: DataFrame, shards: int, ranges: int | None, rounds: int = ROUNDS) -> Plan:
+    whole = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
+    if not whole["rows"]:
         return Plan([], [], [])
-    share = total / shards
-    groups = rows.groupBy("g").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > share / LARGE).toPandas()
+    ranges = ranges or max(RANGES, -(-whole["rows"] // RANGE_ROWS))
+    rows = rows.withColumn("load", _load(whole["bytes"] / whole["rows"]))
+    share, load = whole["bytes"] / shards, whole["bytes"] + whole["rows"] * max(1, round(whole["bytes"] / whole["rows"]))
+    sums = [F.sum("size").alias("bytes"), F.sum("load").alias("load")]
+    groups = rows.groupBy("g").agg(*sums).where(F.col("load") > load / shards / LARGE).toPandas()  # at most shards * LARGE
     large = dict(zip(groups["g"].astype("int64").tolist(), groups["bytes"].astype("int64").tolist(), strict=True))
 
     def clean(found: list[tuple[int, int]]) -> set[tuple[int, int]]:
         """Splitters cut large groups only, others end after the group they fall into."""
         return {(g, k if g in large else TOP) for g, k in found}
 
-    splitters = clean(_quantiles(_draw(rows, ranges * DRAWS, total, 0), ranges))
+    splitters = clean(_quantiles(_draw(rows, ranges * DRAWS, load, 0), ranges))
     for g in large:
         splitters |= {(g, TOP)} | ({(g - 1, TOP)} if g > -TOP else set())
-    limit = 2 * total / ranges
+    limit = 2 * load / ranges
     for salt in range(1, rounds + 1):
         ordered = sorted(splitters)
         placed = rows.withColumn("range", range_of(ordered))
-        sizes = {r["range"]: r for r in placed.groupBy("range").agg(
-            F.sum("size").alias("bytes"), F.max("size").alias("most"), F.min("g").alias("low"), F.max("g").alias("high")).collect()}
-        over = [n for n, r in sizes.items() if r["bytes"] > limit and r["bytes"] > 2 * r["most"] and (r["low"] != r["high"] or r["low"] in large)]
-        if not over or salt == rounds:
-            break
-        before = len(splitters)
-        for n in over:  # each has over 2 / ranges of all bytes, so there are few
-            inside = placed.where(F.col("range") == n)
-            parts = int(np.ceil(2 * sizes[n]["bytes"] / limit))
-            splitters |= clean(_quantiles(_draw(inside, parts * DRAWS, sizes[n]["bytes"], salt), parts))
-        if len(splitters) == before:
+        sizes = {r["range"]: r for r in placed.groupBy("range").agg(*sums, F.max("load").alias("most"), F.min("g").alias("low"), F.max("g").alias("high")).collect()}
+        over = [n for n, r in sizes.items() if r["load"] > limit and r["load"] > 2 * r["most"] and (r["low"] != r["high"] or r["low"] in large)]
+        if not over:
             break
+        if salt == rounds:
+            raise RuntimeError(f"{len(over)} ranges stay overfull after {rounds} rounds")
+        # Each has over 2 / ranges of the load, so there are few; one sample serves them all.
+        inside = _draw(placed.where(F.col("range").isin(over)), len(over) * 4 * DRAWS * (1 + salt // 8), sum(sizes[n]["load"] for n in over), salt)
+        place = np.searchsorted(np.array([s[0] for s in ordered]), inside["g"].to_numpy(), "left")
+        for n in np.unique(place):
+            splitters |= clean(_quantiles(inside[place == n].reset_index(drop=True), 4))
 
     ordered = sorted(splitters)
     of = {n: r["low"] if r["low"] == r["high"] and r["low"] in large else None for n, r in sizes.items()}
@@ -125,7 +134,7 @@ def plan_ranges(rows: DataFrame, shards: int, ranges: int, rounds: int = 12) ->
     return Plan(ordered, table, borders)
 
 
-def shards_by_bytes(docs: DataFrame, shards: int = SHARDS, ranges: int = RANGES, key: str = "doc_id", text: str = "text") -> DataFrame:
+def shards_by_bytes(docs: DataFrame, shards: int = SHARDS, ranges: int | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, size, text_crc32, shard, slot``.
 
     Size is the UTF-8 bytes of the text plus 1 (null text: 1).  Slots count from 0 without a gap

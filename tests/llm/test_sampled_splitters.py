@@ -46,3 +46,46 @@ def test_edge_documents(spark, edge, nothing):
     assert s.shards_by_bytes(nothing).count() == 0
     same = spark.createDataFrame([(1, "x")] * 50, "doc_id long, text string")
     check([(1, "x")] * 50, s.shards_by_bytes(same).collect())
+
+
+def test_a_third_of_all_rows_without_text(spark):
+    """One byte each, so a small group in bytes, but no range may hold it whole; nor may the ranges of one very common id."""
+    docs = [(i, None if i % 6 else "") for i in range(6000)] + [(7, f"text {i} " * 20) for i in range(12000)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    size = check(docs, s.shards_by_bytes(frame).collect())
+    assert max(size.values()) - min(size.values()) < 0.02 * sum(size.values()) / 8
+    rows = s.keyed(frame)
+    plan = s.plan_ranges(rows, 8, 64)
+    held = [r["count"] for r in rows.withColumn("range", s.range_of(plan.splitters)).groupBy("range").count().collect()]
+    assert max(held) <= 2 * 2 * len(docs) / 64 + 1
+
+
+def test_placing_against_a_list(spark):
+    """The same records placed one after the other in plain Python, from the plan's borders alone."""
+    rng = random.Random(9)
+    docs = [(i, rng.choice(["same", None, f"t{i % 40} " * rng.randint(1, 30), "x" * rng.randint(1, 400)])) for i in range(2500)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    rows = s.keyed(frame)
+    plan = s.plan_ranges(rows, 8, 32)
+    listed = sorted(((r["range"], r["g"], r["k"], r["row"], r["doc_id"], r["size"]) for r in rows.withColumn("range", s.range_of(plan.splitters)).collect()))
+    table, at, start, want = {t[0]: t for t in plan.table}, defaultdict(int), {}, defaultdict(list)
+    for n, g, _, _, doc, size in listed:
+        _, home, before, by_record = table[n]
+        mine = at[n]
+        at[n] += size
+        if not by_record:
+            mine = start.setdefault((n, g), mine)
+        want[home if home >= 0 else sum(before + mine >= b for b in plan.borders)].append(doc)
+    got = defaultdict(dict)
+    for r in s.shards_by_bytes(frame, ranges=32).collect():
+        got[r["shard"]][r["slot"]] = r["doc_id"]
+    assert {k: sorted(v) for k, v in want.items()} == {k: sorted(v.values()) for k, v in got.items()}
+    for shard, docs_there in want.items():
+        assert [got[shard][i] for i in range(len(docs_there))] == docs_there
+
+
+def test_ranges_that_stay_overfull_raise(spark, monkeypatch):
+    monkeypatch.setattr(s, "_quantiles", lambda *a: [])  # samples that find no splitter
+    rows = s.keyed(spark.createDataFrame([(i, f"t{i}") for i in range(5000)], "doc_id long, text string"))
+    with pytest.raises(RuntimeError, match="overfull"):
+        s.plan_ranges(rows, 8, 16, rounds=2)
