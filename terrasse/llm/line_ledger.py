@@ -31,6 +31,7 @@ from terrasse.llm.words import mix, slices
 from terrasse.settings import durable, path_exists
 
 MIN_CHARS, MIN_DOCS, SHARDS = 40, 5, 64
+SHARD_KEYS = 500_000  # repeated keys of the first batch that a shard is made for, from ``SHARDS`` shards on
 FILTER_BYTES = 64 << 20  # larger filters are not sent to every task; all long lines then meet the exact counts
 SLOTS, KICKS = 4, 500
 
@@ -156,9 +157,9 @@ def document_keys(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
 class LineLedger:
     """Insert documents, delete documents, drop repeated lines; state lives in ``path`` (a shared folder)."""
 
-    def __init__(self, spark: SparkSession, path: str, shards: int = SHARDS, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS):
+    def __init__(self, spark: SparkSession, path: str, shards: int | None = None, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS):
         self.spark, self.path = spark, path.rstrip("/")
-        self.shards, self.min_docs, self.min_chars = shards, min_docs, min_chars
+        self._wanted, self.min_docs, self.min_chars = shards, min_docs, min_chars
 
     def _at(self, batch: int, part: str) -> str:
         return f"{self.path}/batch-{batch:06d}/{part}"
@@ -224,12 +225,26 @@ class LineLedger:
             moved = change.select("key", F.lit(0).alias("was"), F.col("n_docs").alias("now"))
         self._write_filters(n, moved.where((F.col("was") >= self.min_docs) != (F.col("now") >= self.min_docs)))
 
+    @property
+    def shards(self) -> int:
+        """Stored with the ledger, so that every batch and reader deals keys alike."""
+        return self.spark.read.schema("shards int").parquet(f"{self.path}/shards").first()[0]
+
+    def _fix_shards(self, moved: DataFrame) -> None:
+        """As many shards as the first batch's repeated keys call for, unless a number was given."""
+        found = moved.where(F.col("now") >= self.min_docs).select(F.greatest(F.lit(SHARDS), F.ceil(F.count(F.lit(1)) / SHARD_KEYS)).cast("int").alias("shards"))
+        if self._wanted:
+            found = self.spark.range(1).select(F.lit(self._wanted).alias("shards"))
+        found.write.mode("overwrite").parquet(f"{self.path}/shards")
+
     def _write_filters(self, n: int, moved: DataFrame) -> None:
         """A new filter per shard: the last one with the keys of the batch put in or taken out.
 
-        A shard's keys are one group, so ``shards`` must grow with the data (about a million
-        repeated keys a shard).  Full filters are rebuilt at double size from all keys.
+        A shard's keys are one group of ``SHARD_KEYS`` on average in the first batch; give a number of shards to
+        a ledger whose first batch is a small part.  Full filters are rebuilt at double size from all keys.
         """
+        if not n:
+            self._fix_shards(moved)
         shards, limit, old = self.shards, self.min_docs, self._read("filters", "shard int, blob binary, n bigint", n) if n else None
 
         def shard(keys: pd.Series) -> pd.Series:
