@@ -48,10 +48,6 @@ class Rule:
     per: str | None = None
     below: bool = False
 
-    def failed(self) -> Column:
-        left, right = F.lit(self.weight) * F.col(self.measure), F.lit(self.bound) * (F.col(self.per) if self.per else F.lit(1))
-        return left < right if self.below else left > right
-
 
 # A bit keeps its meaning for ever; new rules take new bits.
 RULES = (
@@ -100,24 +96,31 @@ def measured(texts: pa.Array) -> dict[str, np.ndarray]:
     return found
 
 
-def measure(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: the key and every measurement."""
-    picked = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    kind = picked.schema["doc_id"].dataType.simpleString()
+def fail_bits(found: Mapping[str, np.ndarray]) -> np.ndarray:
+    """A bit for every rule that a text's measurements break: the one place where rules are compared."""
+    bits = np.zeros(len(next(iter(found.values()))), np.int64)
+    for r in RULES:
+        left, right = r.weight * found[r.measure], r.bound * (found[r.per] if r.per else 1)
+        bits |= (left < right if r.below else left > right).astype(np.int64) << r.bit
+    return bits
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            found = measured(part.column("text"))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), *[pa.array(found[m].astype(np.int64)) for m in MEASURES]], names=["doc_id", *MEASURES])
 
-    return picked.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{m} bigint" for m in MEASURES))
+def _judged(texts: pa.Array) -> dict[str, np.ndarray]:
+    found = {m: v.astype(np.int64) for m, v in measured(texts).items()}
+    return {**found, "fail_bits": fail_bits(found)}
 
 
 def ledger(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Key, measurements and ``fail_bits``."""
-    bits = sum((F.when(r.failed(), F.lit(1 << r.bit)).otherwise(F.lit(0)) for r in RULES[1:]), F.when(RULES[0].failed(), 1 << RULES[0].bit).otherwise(0))
-    return measure(docs, key, text).withColumn("fail_bits", bits.cast("long"))
+    """One row per document: the key, every measurement and ``fail_bits``."""
+    picked = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    kind, names = picked.schema["doc_id"].dataType.simpleString(), [*MEASURES, "fail_bits"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            found = _judged(part.column("text"))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(found[n]) for n in names]], names=["doc_id", *names])
+
+    return picked.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{n} bigint" for n in names))
 
 
 def passes(mask: int) -> Column:
@@ -153,18 +156,12 @@ def ablations(rows: DataFrame, policies: Mapping[str, int] = POLICIES) -> DataFr
 
 
 def keep_documents(docs: DataFrame, version: str = CURRENT, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``docs``, all columns unchanged, that a policy keeps; measured and judged in one pass."""
+    """Rows of ``docs``, all columns unchanged, whose bits the policy's mask passes; measured and judged in one pass."""
     mask = POLICIES[version]
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, at):
-            found = {k: v.astype(np.int64) for k, v in measured(part.column(at)).items()}
-            bad = np.zeros(part.num_rows, bool)
-            for r in RULES:
-                if mask >> r.bit & 1:
-                    left, right = r.weight * found[r.measure], r.bound * (found[r.per] if r.per else 1)
-                    bad |= left < right if r.below else left > right
-            yield part.filter(pa.array(~bad))
+            yield part.filter(pa.array(_judged(part.column(at))["fail_bits"] & mask == 0))
 
     return docs.mapInArrow(run, docs.schema)

@@ -75,6 +75,20 @@ def op1_quality_ledger(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_CASES_SQL = ", ".join(
+    f"('{v}', {m}, '{r.name}', {1 << r.bit})" for v, m in quality_ledger.POLICIES.items() for r in quality_ledger.RULES if m >> r.bit & 1)
+
+
+@query(QUALITY_SQL.rpartition("SELECT doc_id, n_words")[0].rstrip() + f""",
+cases(policy, mask, rule, bit) AS (VALUES {_CASES_SQL})
+SELECT policy, rule, CAST(bit AS BIGINT) AS bit, count(*) AS documents, count(*) FILTER (fail_bits & mask = 0) AS kept, count(*) FILTER (fail_bits & mask & bit <> 0) AS failing,
+       count(*) FILTER (fail_bits & mask = bit) AS failing_only, count(*) FILTER (fail_bits & mask IN (0, bit)) AS kept_without
+FROM judged, cases GROUP BY policy, rule, bit""")
+def quality_ablations(spark: SparkSession, sf: str) -> DataFrame:
+    """What each rule of each policy costs, from the ledger's bits."""
+    return quality_ledger.ablations(quality_ledger.ledger(table(spark, sf, "documents")))
+
+
 @query(r"""WITH built AS (
   SELECT coalesce(CAST(floor(page_id / 1000) AS BIGINT), -1) AS file, page_id AS record,
          'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')
@@ -154,7 +168,7 @@ def op8_sampled_splitters(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
-@query(r"""WITH line AS (
+LINES_SQL = r"""WITH line AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS l,
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS p
   FROM documents),
@@ -165,7 +179,10 @@ often AS (SELECT k, max(doc_id) AS last FROM keyed WHERE length(k) >= 40 GROUP B
 marked AS (SELECT keyed.*, last IS NOT NULL AND doc_id <> last AS gone FROM keyed LEFT JOIN often USING (k))
 SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
        sha256(coalesce(string_agg(l, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
-FROM marked GROUP BY doc_id""")
+FROM marked GROUP BY doc_id"""
+
+
+@query(LINES_SQL)
 def op9_line_ledger(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     ledger = line_ledger.LineLedger(spark, fresh_path(spark, "line-ledger"))
@@ -174,6 +191,17 @@ def op9_line_ledger(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query(LINES_SQL.replace("FROM documents)", "FROM documents WHERE lang <> 'fr')"))
+def line_deletion(spark: SparkSession, sf: str) -> DataFrame:
+    """The lines of what is left once all documents of one language are deleted from a ledger of all."""
+    docs = table(spark, sf, "documents")
+    ledger = line_ledger.LineLedger(spark, fresh_path(spark, "line-ledger"))
+    ledger.insert(docs)
+    ledger.delete(docs.where("lang = 'fr'"))
+    return ledger.clean(docs.where("lang <> 'fr'")).select(
+        "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query()
 def op10_string_tiling(spark: SparkSession, sf: str) -> DataFrame:
     return string_tiling.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))

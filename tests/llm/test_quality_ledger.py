@@ -19,7 +19,7 @@ def brute(text):
 
 
 def test_measures_match_brute_force(edge):
-    got = q.measure(edge).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words").collect()
+    got = q.ledger(edge).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words").collect()
     want = [(r["doc_id"], *brute(r["text"])) for r in edge.collect()]
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
 
