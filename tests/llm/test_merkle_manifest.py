@@ -1,7 +1,7 @@
 import hashlib
 
 import pytest
-from edge_cases import EDGE, edge, nothing, rows_to_docs  # noqa: F401
+from edge_cases import edge, nothing, rows_to_docs  # noqa: F401
 from pyspark.sql import functions as F
 
 from terrasse.llm import merkle_manifest as m
