@@ -31,13 +31,6 @@ def schedule_hours(schedule: Column) -> Column:
     return F.try_element_at(known, schedule)
 
 
-def layer_of(path: Column) -> Column:
-    """Layer from the first path segment."""
-    bare = F.regexp_replace(F.coalesce(path, F.lit("")), "^s3a?://", "")
-    segment = F.lower(F.substring_index(bare, "/", 1))
-    return F.when(segment.isin(*LAYERS), segment).otherwise(F.lit(DEFAULT_LAYER))
-
-
 def object_store_path(path: str) -> str:
     """``s3://`` as ``s3a://``, the scheme Spark's file systems register."""
     return "s3a://" + path[len("s3://"):] if path.startswith("s3://") else path
@@ -49,8 +42,3 @@ def pii_hint(name: Column) -> Column:
 
 def shorten(text: Column, length: int = 120) -> Column:
     return F.when(F.length(text) > length, F.concat(F.substring(text, 1, length), F.lit("…"))).otherwise(text)
-
-
-def slug(text: Column) -> Column:
-    """Identifier safe for a node name: everything but ASCII letters and digits becomes ``_``."""
-    return F.regexp_replace(text, "[^a-zA-Z0-9]", "_")

@@ -65,11 +65,6 @@ def accumulate_state(
     )
 
 
-def collapse_equal_times(history: DataFrame) -> DataFrame:
-    """Drop the zero-length rows that events with equal time leave behind."""
-    return history.filter(F.col("is_current") | (F.col("valid_from") < F.col("valid_to")))
-
-
 def spells(
     moves: DataFrame,
     key: str,

@@ -154,12 +154,6 @@ def keep_events(df: DataFrame, type_column: str, types: Sequence[str], required:
     return reduce(lambda d, c: d.filter(F.col(c).isNotNull()), required, kept)
 
 
-def pad_columns(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """Add typed NULL columns that are missing, so that frames can union by name."""
-    missing = {c: F.lit(None).cast(t) for c, t in columns.items() if c not in df.columns}
-    return df.withColumns(missing) if missing else df
-
-
 def pseudonym(column: str | Column) -> Column:
     """SHA-256 hex of an identifier; NULL and empty text give NULL."""
     c = F.col(column) if isinstance(column, str) else column

@@ -41,16 +41,10 @@ def full_sync(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Data
     return source.join(carried, list(keys), "left")
 
 
-def latest_changes(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    from terrasse.operators.keys import latest_per_key
-
-    return latest_per_key(changes, keys, order)
-
-
 def refuse_repeated_keys(df: DataFrame, keys: Sequence[str]) -> None:
     """Raise if two rows have one key; rows with a NULL in the key match nothing and may repeat."""
     if not df.dropna(subset=list(keys)).groupBy(*keys).count().filter("count > 1").isEmpty():
-        raise ValueError(f"several rows for one key ({', '.join(keys)}); reduce them first, for example with latest_changes")
+        raise ValueError(f"several rows for one key ({', '.join(keys)}); reduce them first, for example with keys.latest_per_key")
 
 
 def upsert_table(incoming: DataFrame, table: str, keys: Sequence[str], buckets: int | None = None) -> int:
@@ -201,8 +195,3 @@ def _same(schema: StructType) -> Column:
         return F.to_json(F.struct(a)).eqNullSafe(F.to_json(F.struct(b))) if "map" in f.dataType.simpleString() else a.eqNullSafe(b)
 
     return reduce(lambda a, b: a & b, [one(f) for f in schema.fields])
-
-
-def union_evolving(frames: Sequence[DataFrame]) -> DataFrame:
-    """Append with new columns: older rows get NULL."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -127,8 +127,6 @@ def test_upsert_and_sync(spark):
     assert rows(merge.upsert(target, new, ["id"])) == [(None, "z", "n0"), (1, "a", "n1"), (2, "B", None), (3, "C", None)]
     assert rows(merge.full_sync(target, new, ["id"])) == [(2, "B", "n2"), (3, "C", None)]
     assert rows(merge.full_sync(target.drop("note"), new, ["id"])) == [(2, "B"), (3, "C")]
-    changes = spark.createDataFrame([(2, "x", 1), (2, "y", 2)], "id int, v string, t int")
-    assert rows(merge.latest_changes(changes, ["id"], ["t"]), "id", "v") == [(2, "y")]
 
 
 def test_snapshot_table_life(spark, tmp_path):
