@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -130,7 +131,13 @@ def refuse_narrowing(df: DataFrame, path: str) -> DataFrame:
     """
     if not path_exists(df.sparkSession, path):
         return df
-    stored, now = dict(read_evolved(df.sparkSession, path).dtypes), dict(df.dtypes)
+    try:
+        stored = dict(read_evolved(df.sparkSession, path).dtypes)
+    except AnalysisException as nothing:
+        if nothing.getCondition() != "UNABLE_TO_INFER_SCHEMA":  # an empty folder
+            raise
+        return df
+    now = dict(df.dtypes)
     wrong = sorted(c for c, t in stored.items() if now.get(c) != t)
     if wrong:
         raise ValueError(f"stored columns are missing or of another type: {', '.join(wrong)}")

@@ -127,6 +127,9 @@ def test_restart_with_more_columns(spark, tmp_path):
     (source / "b.json").write_text('{"id": 2, "v": "x"}')
     st.append_stream(st.file_stream(spark, str(source), "id int, v string"), out, check).awaitTermination()
     assert rows(read_evolved(spark, out), "id", "v") == [(1, None), (2, "x")]
+    (tmp_path / "empty").mkdir()
+    st.append_stream(st.file_stream(spark, str(source), "id int"), str(tmp_path / "empty"), str(tmp_path / "other")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "empty")).count() == 2
     for narrow in ("v string", "id bigint, v string"):
         with pytest.raises(ValueError, match="id"):
             st.append_stream(st.file_stream(spark, str(source), narrow), out, check)
