@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrasse.functions.ordering import double_key, double_of_key
+from terrasse.functions.ordering import double_of_key, with_double_key
 from terrasse.operators.ordered import over_order
 from terrasse.settings import durable
 
@@ -190,8 +190,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     """
     if not columns or not probabilities:
         return df.sparkSession.createDataFrame([], "column string, p double, value double")
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), double_key(F.col(c).cast("double")).alias("key")) for c in columns])
-    keys = durable(df.select(F.explode(cells).alias("e")).select("e.*").filter("key IS NOT NULL"), "ordered-keys")
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])
+    cells = df.select(F.explode(cells).alias("e")).select("e.*").filter("v IS NOT NULL")
+    keys = durable(with_double_key(cells, "v", "key").select("column", "key"), "ordered-keys")
     pos = F.col("p") * (F.col("total") - 1)
     wanted = keys.groupBy("column").agg(F.count(F.lit(1)).alias("total")).withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
     sides = F.array(F.floor(pos).cast("bigint"), F.ceil(pos).cast("bigint"))

@@ -5,7 +5,7 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from terrasse.functions.ordering import double_key, double_of_key
+from terrasse.functions.ordering import double_of_key, with_double_key
 from terrasse.operators import history, lookup, measures
 from terrasse.plans.models import fit_and_score, in_training, linear_model
 
@@ -56,7 +56,7 @@ def test_keys_order_as_doubles_and_lead_back(spark):
     powers = [s * 2.0**e * f for e in range(-1074, 1024, 7) for s in (1, -1) for f in (1.0, 1.0 + 2**-52, 2.0 - 2**-52)]
     values = [0.0, -0.0, float("inf"), float("-inf"), 5e-324, -5e-324, 2.0**-1022, 2.0**-1022 - 5e-324, 1.7976931348623157e308, 0.1, 1 / 3, *powers]
     values += [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(3000)]
-    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").withColumn("k", double_key(F.col("v"))).withColumn("back", double_of_key(F.col("k")))
+    df = with_double_key(spark.createDataFrame([(v,) for v in values] + [(None,)], "v double"), "v", "k").withColumn("back", double_of_key(F.col("k")))
     found = df.collect()
     assert all((r.back == r.v or (r.v != r.v and r.back != r.back)) and (r.v is None) == (r.k is None) for r in found)
     plain = [(r.v, r.k) for r in found if r.v is not None and r.v == r.v]
