@@ -55,6 +55,17 @@ def bucket_of(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
+def term_counts(words: str) -> Column:
+    """``term, tf`` of every different word of an array, counted inside its row: words sorted, and cut where the next one differs."""
+    def count(lists: Column) -> Column:
+        starts = F.array_compact(F.transform(lists, lambda w, i: F.when(~w.eqNullSafe(F.get(lists, i - 1)), i)))
+        return F.transform(F.array(starts), lambda at: F.transform(at, lambda s, k: F.struct(
+            F.get(lists, s).alias("term"), (F.coalesce(F.get(at, k + 1), F.size(lists)) - s).alias("tf"))))
+
+    # Arrays of one element bind the sorted words and their cuts, so that each is made once a row and not once a word.
+    return F.flatten(F.flatten(F.transform(F.array(F.sort_array(words)), count)))
+
+
 def update(df: DataFrame, index: str, key: str, text: str, buckets: int = BUCKETS) -> int:
     """Bring the index to the texts of ``df``, creating it when missing; returns how many texts were new, changed or gone.
 
@@ -79,10 +90,12 @@ def update(df: DataFrame, index: str, key: str, text: str, buckets: int = BUCKET
         "doc", F.lit(None).cast("int").alias("len"), F.lit("").alias("digest"), F.lit(None).cast("array<string>").alias("terms"), F.lit(False).alias("live"))
     counted = Observation("texts")
     texts.unionByName(gone).observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{index}/texts/gen={gen}")
-    postings = fresh.select("doc", F.size("words").alias("len"), F.explode("words").alias("term")).groupBy("term", "doc", "len").agg(F.count(F.lit(1)).cast("int").alias("tf"))
+    postings = fresh.select("doc", F.size("words").alias("len"), F.inline(term_counts("words"))).select("term", "doc", "len", "tf")
     if now is not None:
-        before = _texts(spark, index, now, ("terms",)).join(changes.select("doc"), "doc", "left_semi").select("doc", F.explode("terms").alias("term"))
-        lost = before.join(postings.select("doc", "term"), ["doc", "term"], "left_anti")
+        before = _texts(spark, index, now, ("terms",)).join(changes.select("doc"), "doc", "left_semi").withColumnRenamed("terms", "old")
+        written = _stored(spark, index, "texts", {"base": gen, "gen": gen, "key_type": now["key_type"]}).filter("live").select("doc", "terms")
+        gone_terms = F.array_except("old", F.coalesce("terms", F.array().cast("array<string>")))
+        lost = before.join(written, "doc", "left").select("doc", F.explode(gone_terms).alias("term"))
         postings = postings.unionByName(lost.select("term", "doc", F.lit(None).cast("int").alias("len"), F.lit(0).alias("tf")))
     _write_postings(postings, index, gen, buckets)
     return _close(spark, index, gen, base, buckets, counted.get["n"], dict(source.dtypes)["doc"])

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 from conftest import plan, rows
@@ -63,6 +64,20 @@ def test_a_change_writes_its_own_postings_only(spark):
     agree(spark, texts(spark, state), path)
 
 
+def test_terms_are_counted_inside_their_text(spark, monkeypatch):
+    """No aggregation over exploded words, whose memory in a task would grow with the texts that the task reads."""
+    path, seen, write = fresh_path(spark, "index"), [], search_index._write_postings
+    monkeypatch.setattr(search_index, "_write_postings", lambda postings, *a: (seen.append(plan(postings)), write(postings, *a)))
+    rng, state = random.Random(2), {}
+    for _ in range(2):
+        state = {i: rng.choice([None, "", " ".join(rng.choices(WORDS, k=rng.randint(1, 40)))]) for i in range(20)}
+        search_index.update(texts(spark, state), path, "id", "body", buckets=4)
+    assert len(seen) == 2 and not any("Aggregate" in p for p in seen)
+    counts = [(term, i, n) for i, t in state.items() for term, n in Counter((t or "").split()).items()]
+    now = search_index.postings_of(spark, path, WORDS).filter("tf > 0")
+    assert rows(now, "term", "doc", "tf") == rows(spark.createDataFrame(counts, "term string, doc bigint, tf int"))
+
+
 def test_null_and_repeated_keys_and_no_texts(spark):
     path = fresh_path(spark, "index")
     with pytest.raises(LookupError):
