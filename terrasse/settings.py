@@ -14,6 +14,9 @@ RUN_ROWS = ("spark.terrasse.runRows", 4_000_000)
 # A side is broadcast on purpose only after a count shows it is below this many rows.
 BROADCAST_ROWS = ("spark.terrasse.broadcastRows", 500_000)
 
+# A lookup broadcasts the codes that hold at least one of so many parts of the rows; so there are no more of them.
+HOT_CODES = ("spark.terrasse.hotCodes", 100_000)
+
 # Defaults for a session we build ourselves; a running session keeps what it has.
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",

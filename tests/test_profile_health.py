@@ -113,3 +113,42 @@ def test_role_lookups_keep_rows(spark):
     listed = spark.createDataFrame([("a", "A"), ("b", "B")], "code string, name string")
     out = lookup.role_lookups(fact, listed, "code", ["name"], {"x": "first", "y": "second"})
     assert rows(out, "id", "first_name", "second_name") == [(1, "A", None), (2, None, "B")]
+
+
+@pytest.mark.parametrize("most", [1, 6, 10**6])
+def test_lookups_of_frequent_and_missing_codes(spark, most):
+    """All, some and no codes are rare; missing codes and frequent ones do not share one task, and rows keep every match."""
+    names = ("spark.terrasse.hotCodes", most), ("spark.sql.autoBroadcastJoinThreshold", -1), ("spark.sql.adaptive.enabled", "false")
+    before = {name: spark.conf.get(name, None) for name, _ in names}
+    code = lambda i: None if i % 2 else "a" if i % 4 else "zz" if i % 8 else f"c{i % 3}"
+    fact = [(i, code(i), code(i // 3)) for i in range(400)]
+    listed = [("a", "A"), ("b", "B"), ("c0", "C"), ("c0", "also C"), (None, "nothing")]
+    df, codes = spark.createDataFrame(fact, "id int, x string, y string"), spark.createDataFrame(listed, "code string, name string")
+    named = lambda c: [n for k, n in listed if c is not None and k == c] or [None]
+    try:
+        for name, value in names:
+            spark.conf.set(name, str(value))
+        out = lookup.role_lookups(df, codes, "code", ["name"], {"x": "first", "y": "second"})
+        assert out.columns == ["y", "x", "id", "first_name", "second_name"]
+        wanted = [(i, x, y, n, m) for i, x, y in fact for n in named(x) for m in named(y)]
+        assert rows(out, "id", "x", "y", "first_name", "second_name") == rows(spark.createDataFrame(wanted, "id int, x string, y string, n string, m string"))
+        assert out.filter("y IS NULL").select(F.spark_partition_id()).distinct().count() > 1
+        if most > 1:
+            assert out.filter("x = 'a'").select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_lookup_steps_spread_missing_codes(spark):
+    fact = spark.createDataFrame([(i, None, None) for i in range(300)], "id int, x string, y string")
+    listed = spark.createDataFrame([("a", "A")], "code string, name string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        roles = lookup.role_lookups(fact, listed, "code", ["name"], {"x": "first", "y": "second"})
+        for out in (roles, lookup.bridge(fact, listed, "x", {"name": "name"}, "code")):
+            assert out.select(F.spark_partition_id()).distinct().count() > 1 and out.count() == 300
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
