@@ -84,18 +84,21 @@ def child_names(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
     return sorted(name for name in (f.getPath().getName() for f in found) if name.startswith(prefix))
 
 
-def durable(df: DataFrame, label: str = "stage") -> DataFrame:
+def durable(df: DataFrame, label: str = "stage", compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the plan, fixes values that a second evaluation could change, and survives the loss
-    of any executor.
+    of any executor.  ``compression`` names a Parquet codec other than the session's.
     """
-    return durable_counted(df, label)[0]
+    return durable_counted(df, label, compression)[0]
 
 
-def durable_counted(df: DataFrame, label: str = "stage") -> tuple[DataFrame, int]:
+def durable_counted(df: DataFrame, label: str = "stage", compression: str | None = None) -> tuple[DataFrame, int]:
     """Like ``durable``, with the number of rows, counted while writing."""
     path = fresh_path(df.sparkSession, label)
     seen = Observation(label)
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
+    if compression:
+        writer = writer.option("compression", compression)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]

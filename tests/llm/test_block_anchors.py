@@ -71,6 +71,17 @@ def test_a_crowded_filter_changes_nothing(spark, monkeypatch):
     assert result(block_anchors.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"))) == brute(docs, 50)
 
 
+def test_texts_of_the_stage_are_packed(spark, monkeypatch):
+    """The words that wait for the last join are the largest part of the stage, so it is written with the denser codec."""
+    kept, durable = {}, block_anchors.durable
+    monkeypatch.setattr(block_anchors, "durable", lambda df, label, *a: kept.setdefault(label, durable(df, label, *a)))
+    words = [random.Random(3).choice(["the", "house", "stands", "near", "old", "river", "and", "town"]) + str(i % 3) for i in range(4000)]
+    docs = [(i, " ".join([f"own{i}", *words[i : i + 2000]])) for i in range(8)]
+    assert result(block_anchors.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"))) == brute(docs, 50)
+    files = kept["extended"].inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
 def test_edge_documents_and_kept_texts(edge, nothing):
     got = block_anchors.remove_repeats(edge)
     assert result(got) == brute([(r["doc_id"], r["text"]) for r in edge.collect()], 50)
