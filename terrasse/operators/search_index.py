@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from terrasse.operators.measures import top_k
 from terrasse.operators.search import PAGE, bm25, query_terms, tokens
-from terrasse.settings import durable, path_exists
+from terrasse.settings import BROADCAST_ROWS, durable, durable_counted, limit_of, path_exists
 from terrasse.sinks.merge import refuse_repeated_keys
 
 BUCKETS = 64
@@ -76,20 +76,23 @@ def update(df: DataFrame, index: str, key: str, text: str, buckets: int = BUCKET
     refuse_repeated_keys(source, ["doc"])
     digest = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("")).alias("digest")
     seen = source.select("doc", digest)
+    words = tokens("text").alias("words")
     if now is None:
-        gen, base, changes = 0, 0, seen.withColumn("live", F.lit(True))
+        # All texts are new: nothing is looked up, so that they are neither shuffled nor sorted.
+        gen, base, fresh, gone = 0, 0, source.select("doc", digest, words), None
     else:
         gen, base, buckets = now["gen"] + 1, now["base"], now["buckets"]
         known = _texts(spark, index, now, ("digest",)).withColumnRenamed("digest", "old")
         both = seen.join(known, "doc", "full").filter(~F.col("digest").eqNullSafe(F.col("old")))
-        changes = both.select("doc", "digest", F.col("digest").isNotNull().alias("live"))
-    changes = durable(changes, "changed-texts")
-    fresh = source.join(changes.filter("live").select("doc", "digest"), "doc").select("doc", "digest", tokens("text").alias("words"))
+        changes, n = durable_counted(both.select("doc", "digest", F.col("digest").isNotNull().alias("live")), "changed-texts")
+        # Hashed on the side of the digests, so that no task sorts texts.
+        found = changes.filter("live").select("doc", "digest").hint("broadcast" if n <= limit_of(spark, BROADCAST_ROWS) else "shuffle_hash")
+        fresh = source.join(found, "doc").select("doc", "digest", words)
+        gone = changes.filter("NOT live").select(
+            "doc", F.lit(None).cast("int").alias("len"), F.lit("").alias("digest"), F.lit(None).cast("array<string>").alias("terms"), F.lit(False).alias("live"))
     texts = fresh.select("doc", F.size("words").alias("len"), "digest", F.array_distinct("words").alias("terms"), F.lit(True).alias("live"))
-    gone = changes.filter("NOT live").select(
-        "doc", F.lit(None).cast("int").alias("len"), F.lit("").alias("digest"), F.lit(None).cast("array<string>").alias("terms"), F.lit(False).alias("live"))
     counted = Observation("texts")
-    texts.unionByName(gone).observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{index}/texts/gen={gen}")
+    (texts if gone is None else texts.unionByName(gone)).observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{index}/texts/gen={gen}")
     postings = fresh.select("doc", F.size("words").alias("len"), F.inline(term_counts("words"))).select("term", "doc", "len", "tf")
     if now is not None:
         before = _texts(spark, index, now, ("terms",)).join(changes.select("doc"), "doc", "left_semi").withColumnRenamed("terms", "old")

@@ -78,6 +78,27 @@ def test_terms_are_counted_inside_their_text(spark, monkeypatch):
     assert rows(now, "term", "doc", "tf") == rows(spark.createDataFrame(counts, "term string, doc bigint, tf int"))
 
 
+def test_texts_are_not_sorted(spark, monkeypatch):
+    """A first update moves no text; a later one hashes the digests of the changed texts, above the broadcast limit as well."""
+    path, state, seen, write = fresh_path(spark, "index"), {i: f"word{i} the" for i in range(5)}, [], search_index._write_postings
+    monkeypatch.setattr(search_index, "_write_postings", lambda postings, *a: (seen.append(plan(postings)), write(postings, *a)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert search_index.update(texts(spark, state), path, "id", "body", buckets=4) == 5
+        assert not any(step in seen[-1] for step in ("Join", "Exchange", "Sort"))
+        for most, join, word in (("500000", "BroadcastHashJoin", "of"), ("1", "ShuffledHashJoin", "in")):
+            spark.conf.set("spark.terrasse.broadcastRows", most)
+            state |= {3: f"the {word} the", 30: word, 31: None if word == "of" else "the"}
+            state.pop(4, None)
+            assert search_index.update(texts(spark, state), path, "id", "body") == (4 if word == "of" else 3)
+            assert join in seen[-1].split("Union")[1].split("SortMergeJoin")[0]
+    finally:
+        spark.conf.unset("spark.terrasse.broadcastRows")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for q in ("the", "the in"):
+        assert rows(search_index.search(spark, path, q, "id", limit=None)) == rows(search.keyword_search(texts(spark, state), "id", "body", q, limit=None))
+
+
 def test_null_and_repeated_keys_and_no_texts(spark):
     path = fresh_path(spark, "index")
     with pytest.raises(LookupError):
